@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -58,23 +59,31 @@ def _reduce_task(batches):
     """Corners per city of all rows of one task, folding batch by batch."""
     kept: dict = {}
     for batch in batches:
-        for city, part in batch.groupby("city_code", sort=False):
-            xy = part[["lon_i", "lat_i"]].to_numpy("int64")
-            kept[city] = convex_corners(np.vstack([kept[city], xy]) if city in kept else xy)
+        table = pa.Table.from_batches([batch]).sort_by("city_code")
+        cities = np.array(table.column("city_code").to_pylist(), dtype=object)
+        xy = np.column_stack([table.column("lon_i").to_numpy(), table.column("lat_i").to_numpy()])
+        starts = np.flatnonzero(np.r_[True, cities[1:] != cities[:-1]]) if len(cities) else []
+        for city, part in zip(cities[starts], np.split(xy, starts[1:])) if len(cities) else ():
+            kept[city] = convex_corners(np.vstack([kept[city], part]) if city in kept else part)
     for city, xy in kept.items():
-        yield pd.DataFrame({"city_code": city, "lon_i": xy[:, 0], "lat_i": xy[:, 1]})
+        yield pa.RecordBatch.from_pydict({
+            "city_code": pa.array([city] * len(xy), pa.string()),
+            "lon_i": pa.array(xy[:, 0], pa.int64()), "lat_i": pa.array(xy[:, 1], pa.int64())})
+
+
+def _hull_row(pdf, ring) -> pd.DataFrame:
+    return pd.DataFrame({"city_code": pd.Series([pdf["city_code"].iloc[0]], dtype=object),
+                         "lons": [ring[:, 0].tolist()], "lats": [ring[:, 1].tolist()]})
 
 
 def convex_hulls(points: DataFrame, slices: int = 64) -> DataFrame:
     """(city_code, hull ring) from (city_code, lon_i, lat_i)."""
-    partial = points.mapInPandas(_reduce_task, CORNERS)
+    partial = points.mapInArrow(_reduce_task, CORNERS)
     salted = partial.repartition("city_code", F.pmod(F.xxhash64("lon_i", "lat_i"), F.lit(slices)))
-    fewer = salted.mapInPandas(_reduce_task, CORNERS)
+    fewer = salted.mapInArrow(_reduce_task, CORNERS)
 
     def finish(pdf):
-        xy = convex_corners(pdf[["lon_i", "lat_i"]].to_numpy("int64"))
-        return pd.DataFrame({"city_code": [pdf["city_code"].iloc[0]],
-                             "lons": [xy[:, 0].tolist()], "lats": [xy[:, 1].tolist()]})
+        return _hull_row(pdf, convex_corners(pdf[["lon_i", "lat_i"]].to_numpy("int64")))
 
     hulls = fewer.groupBy("city_code").applyInPandas(
         finish, "city_code string, lons array<bigint>, lats array<bigint>")
@@ -157,9 +166,7 @@ def concave_hulls(points: DataFrame, ratio: float = fv.CONCAVE_RATIO, cells: int
         "city_code", "p.lon_i", "p.lat_i").distinct()
 
     def finish(pdf):
-        ring = dig_hull(pdf[["lon_i", "lat_i"]].to_numpy("int64"), ratio)
-        return pd.DataFrame({"city_code": [pdf["city_code"].iloc[0]],
-                             "lons": [ring[:, 0].tolist()], "lats": [ring[:, 1].tolist()]})
+        return _hull_row(pdf, dig_hull(pdf[["lon_i", "lat_i"]].to_numpy("int64"), ratio))
 
     hulls = thinned.groupBy("city_code").applyInPandas(
         finish, "city_code string, lons array<bigint>, lats array<bigint>")
