@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("spatial", "relational", "importing")
+MODULES = ("spatial", "relational", "importing", "output")
 
 
 def load_all():

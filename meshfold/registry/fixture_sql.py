@@ -9,7 +9,7 @@ from __future__ import annotations
 POS = """
 k0 AS (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 10 = 1 THEN o_orderkey - 1
         WHEN o_orderkey % 17 = 0 AND o_orderkey % 4 = 0 AND o_orderkey % 10 <> 0
-        THEN o_orderkey - 1 ELSE o_orderkey END AS p FROM orders),
+        THEN o_orderkey - 1 WHEN o_orderkey % 440 = 44 THEN o_orderkey - 22 ELSE o_orderkey END AS p FROM orders),
 pos AS (SELECT k, p, 1390000000 + (p * 104729 % 1000003) * 10 AS x,
         356000000 + (p * 7919 % 1000003) * 10 AS y, 300 + (p % 7) * 50 AS h, p % 20 AS shape,
         CAST(13101 + k % 22 AS VARCHAR) AS city, CAST(53390000 + k // 4000 AS VARCHAR) AS mesh,

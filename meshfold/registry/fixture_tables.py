@@ -37,7 +37,8 @@ def positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """k, p, anchor (x, y), half size h, shape, city, mesh, local number j, full rings."""
     k = F.col("k")
     p = (F.when(k % 10 == 1, k - 1)
-         .when((k % 17 == 0) & (k % 4 == 0) & (k % 10 != 0), k - 1).otherwise(k))
+         .when((k % 17 == 0) & (k % 4 == 0) & (k % 10 != 0), k - 1)
+         .when(k % 440 == 44, k - 22).otherwise(k))
     template = (F.when(F.col("shape") == 0, _template(TRIANGLE))
                 .when(F.col("shape") == 1, _template(L_SHAPE))
                 .when(F.col("shape") == 2, _template(SQUARE, SQUARE))
