@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("spatial", "relational", "importing", "output")
+MODULES = ("spatial", "relational", "importing", "output", "catalogue")
 
 
 def load_all():

@@ -24,7 +24,7 @@ tmpl AS (SELECT * FROM (VALUES
   ) AS t(cls, ring, seq, fx, fy)),
 vert AS (SELECT k, ring, seq, x + fx * (CASE WHEN ring = 1 THEN h // 3 ELSE h END) AS vx,
         y + fy * (CASE WHEN ring = 1 THEN h // 3 ELSE h END) AS vy
-        FROM pos JOIN tmpl ON cls = CASE shape WHEN 0 THEN 'tri' WHEN 1 THEN 'ell'
+        FROM pos JOIN tmpl ON cls = CASE shape WHEN 0 THEN 'tri' WHEN 4 THEN 'ell'
           WHEN 2 THEN 'donut' WHEN 3 THEN 'flat' ELSE 'sq' END)"""
 
 GEOM = """

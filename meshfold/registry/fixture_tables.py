@@ -40,7 +40,7 @@ def positions(spark: SparkSession, sf_dir: str) -> DataFrame:
          .when((k % 17 == 0) & (k % 4 == 0) & (k % 10 != 0), k - 1)
          .when(k % 440 == 44, k - 22).otherwise(k))
     template = (F.when(F.col("shape") == 0, _template(TRIANGLE))
-                .when(F.col("shape") == 1, _template(L_SHAPE))
+                .when(F.col("shape") == 4, _template(L_SHAPE))
                 .when(F.col("shape") == 2, _template(SQUARE, SQUARE))
                 .when(F.col("shape") == 3, _template(FLAT))
                 .otherwise(_template(SQUARE)))
@@ -326,7 +326,7 @@ def raw_relations(spark: SparkSession, sf_dir: str) -> DataFrame:
               (fv.IDENTIFIER_KEY, F.when(variant == 0, F.concat(
                   F.col("city"), F.lit("-bldg-"), k.cast("string"))))).alias("tags"),
         F.col("j").alias("pos"))
-    merged = base.filter(F.col("shape") == 1).select(
+    merged = base.filter(F.col("shape") == 4).select(
         "file_key", _ref("j", REL).alias("id"), F.array(member(outer, "outline")).alias("members"),
         _tags(("type", F.lit("building")), ("building", F.lit("yes"))).alias("tags"),
         F.col("j").alias("pos"))

@@ -107,7 +107,7 @@ BROKEN = "(CAST(city AS INTEGER) + CAST(mesh AS INTEGER)) % 7 = 0"
 @query("src_01_xml_scan", raw("""
 SELECT city, mesh, (SELECT count(*) FROM nd WHERE nd.fk = b.fk) AS nodes,
   count(*) + count(*) FILTER (WHERE shape = 2) + count(*) FILTER (WHERE shape = 2 AND variant = 1) AS ways,
-  count(*) FILTER (WHERE shape IN (1, 2)) AS relations,
+  count(*) FILTER (WHERE shape IN (4, 2)) AS relations,
   (SELECT count(*) FROM refs WHERE refs.fk = b.fk) AS node_refs
 FROM base b GROUP BY city, mesh, fk"""))
 def _(spark, sf):
@@ -468,7 +468,7 @@ def _(spark, sf):
 
 # Invalid shapes: an L without its first corner touches itself, a holed square
 # without a corner crosses its hole.
-SOUND = """NOT ((shape = 1 AND kase IN (2, 12)) OR (is_mp = 1 AND kase IN (2, 12, 22)
+SOUND = """NOT ((shape = 4 AND kase IN (2, 12)) OR (is_mp = 1 AND kase IN (2, 12, 22)
   AND NOT (variant = 0 AND k % 3 = 0)))"""
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from meshfold import fixed_values as fv
+from meshfold.functions import geometry as g
 from meshfold.functions import ids, numbers, text
 from meshfold.operators import bbox, coverage, elements, maintenance, quality
 from meshfold.plans import bbox_query
@@ -169,7 +170,7 @@ def _(spark, sf):
 
 @query("flt_17_closing_point", fs.on_nodes("""
 SELECT building_id, CAST(coalesce(ring_id, 0) AS INTEGER) AS ring_no,
- count(*) - CASE WHEN (building_id - 1) % 12 = 0 THEN 1 ELSE 0 END AS nodes FROM n GROUP BY ALL"""))
+ count(*) - any_value(CASE WHEN (building_id - 1) % 12 = 0 THEN 1 ELSE 0 END) AS nodes FROM n GROUP BY ALL"""))
 def _(spark, sf):
     from meshfold.operators import statistics
 
@@ -180,16 +181,15 @@ def _(spark, sf):
 
 
 @query("flt_18_three_valid_nodes", fs.with_ctes(fs.POS, fs.BLD, fs.NODES, body="""
-SELECT id FROM b WHERE shape > 3 OR shape = 1"""))
+SELECT id FROM b WHERE shape NOT IN (0, 2, 3) OR (shape IN (0, 3) AND k % 12 = 0)"""))
 def _(spark, sf):
-    # The last two corners of every ring are moved off the globe, so triangles and
-    # small holes fall below three; one bad ring takes the building with it.
+    # Outer rings lose their first node and holes have their last two off the globe:
+    # rings fall below three, and one bad ring takes the building with it.
     nodes = ft.stored_nodes(spark, sf)
     first = nodes.filter("sequence_id > 0 or ring_id = 1")
     rows = ft.stored_buildings(spark, sf).select("id")
     moved = first.withColumn("lat", F.when((F.col("ring_id") == 1) & (F.col("sequence_id") > 1), 95.0).otherwise(F.col("lat")))
-    closed = moved.withColumn("id", F.col("id"))
-    return elements.emitted_buildings(rows, closed).select("id")
+    return elements.emitted_buildings(rows, moved).select("id")
 
 
 @query("flt_19_ring_number_limit", fs.on_buildings("""
@@ -384,8 +384,6 @@ wrapped AS (
 
 @query("geo_16_convex_hulls", RECURSIVE_HULL)
 def _(spark, sf):
-    from meshfold.functions import geometry as g
-
     hulls = coverage.convex_hulls(coverage.outline_points(ft.stored_buildings(spark, sf)))
     xs = F.transform("hull", lambda v: v["lon_i"])
     return hulls.select("city_code", F.size("hull").alias("corners"), F.array_min(xs).alias("min_lon"),
@@ -580,13 +578,28 @@ def _(spark, sf):
     return quality.duplicate_identifiers(ft.stored_buildings(spark, sf))
 
 
-@query("qa_02_nested_buildings")
-def _(spark, sf):
-    return _with_nested(spark, sf)
+def _middle(spark, sf):
+    """The stored table with every shape replaced by a square of half the size."""
+    rows = ft.stored_buildings(spark, sf).filter("rings is not null")
+    w = F.floor((F.col("max_lon") - F.col("min_lon")) / 4).cast("bigint")
+    h = F.floor((F.col("max_lat") - F.col("min_lat")) / 4).cast("bigint")
+    west, south = F.col("min_lon") + w, F.col("min_lat") + h
+    east, north = F.col("max_lon") - w, F.col("max_lat") - h
+    ring = F.array(g.point(west, south), g.point(east, south), g.point(east, north), g.point(west, north))
+    return ft.with_shape(rows.withColumn("rings", F.array(ring)).drop(
+        "area2", "cen_lon", "cen_lat", "min_lon", "min_lat", "max_lon", "max_lat"))
 
 
-def _with_nested(spark, sf):
-    return quality.nested_buildings(ft.stored_buildings(spark, sf)).agg(F.count("*").alias("nested"))
+@query("qa_02_nested_buildings", fs.on_shapes("""
+SELECT o.id AS outer_id, i.id + 1000000000 AS inner_id FROM s o JOIN s i ON i.city_code = o.city_code AND i.p = o.p
+ WHERE o.shape > 4 AND o.area2 IS NOT NULL AND i.area2 IS NOT NULL"""))
+def _(spark, sf):
+    # Every building also gets a smaller one in its middle; squares contain it, while
+    # triangles, Ls and holes do not.
+    rows = ft.stored_buildings(spark, sf)
+    inner = _middle(spark, sf).withColumn("id", F.col("id") + 1000000000)
+    both = rows.unionByName(inner)
+    return quality.nested_buildings(both).select("outer_id", "inner_id")
 
 
 @query("qa_03_holed_buildings", fs.on_buildings("SELECT city_code, count(*) AS holed FROM b WHERE shape = 2 AND k % 997 <> 5 GROUP BY 1"))
@@ -626,7 +639,7 @@ AREA = "(area2 / 2.0 * ((111320.0 / 1e7) * (111320.0 / 1e7)) * cos(cen_lat / 1e7
 
 
 @query("qa_08_area_bands", fs.on_shapes(f"""
-SELECT CAST(CASE shape WHEN 0 THEN 4 WHEN 1 THEN 7 WHEN 3 THEN 4 ELSE 5 END AS INTEGER) AS n_points, count(*) AS total,
+SELECT CAST(CASE shape WHEN 0 THEN 4 WHEN 4 THEN 7 WHEN 3 THEN 4 ELSE 5 END AS INTEGER) AS n_points, count(*) AS total,
  count(*) FILTER (WHERE {AREA} < 1) AS below_1, count(*) FILTER (WHERE {AREA} < 5) AS below_5,
  count(*) FILTER (WHERE {AREA} < 10) AS below_10 FROM s WHERE area2 IS NOT NULL GROUP BY 1"""))
 def _(spark, sf):
@@ -635,7 +648,7 @@ def _(spark, sf):
 
 @query("qa_09_elongation", fs.on_shapes(f"""
 SELECT id, round({AREA}, 4) AS area, round(h * 4.0 * (1 + cos(cen_lat / 1e7 * (pi() / 180))) * (111320.0 / 1e7)
-  / sqrt({AREA}), 4) AS elongation FROM s WHERE shape > 3 AND {AREA} < 60 AND {AREA} > 0"""))
+  / sqrt({AREA}), 4) AS elongation FROM s WHERE shape > 4 AND {AREA} < 60 AND {AREA} > 0"""))
 def _(spark, sf):
     rows = ft.stored_buildings(spark, sf).filter((F.size("rings") == 1) & (F.size(F.col("rings")[0]) == 4))
     return quality.elongation(rows, 60.0).select(
@@ -676,6 +689,11 @@ def _with_close_parts(spark, sf):
         "height": F.coalesce("ph", "height"), "building_levels": F.coalesce("pl", "building_levels")}).drop("ph", "pl")
 
 
-@query("dsg_02_role_swaps")
+@query("dsg_02_role_swaps", fs.on_shapes("""
+SELECT c.id AS swap_id, c.parent_building_id FROM s c JOIN s q ON q.id = c.parent_building_id
+ WHERE c.p = q.p AND c.shape > 4 AND c.area2 IS NOT NULL AND q.area2 IS NOT NULL"""))
 def _(spark, sf):
-    return quality.role_swaps(ft.stored_buildings(spark, sf))
+    # Outlines shrink to half the size, so a part in the same place outgrows them.
+    rows = ft.stored_buildings(spark, sf)
+    small = _middle(spark, sf).filter("building_part is null")
+    return quality.role_swaps(rows.filter("building_part is not null").unionByName(small))

@@ -114,7 +114,7 @@ def _(spark, sf):
 
 @query("geo_15_validity", fs.on_shapes("""
 SELECT id, CASE WHEN area2 IS NULL THEN NULL ELSE shape <> 3 END AS valid,
-  CASE WHEN area2 IS NULL THEN NULL WHEN shape IN (0, 1, 2, 3) THEN false ELSE false END AS bow_valid FROM s"""))
+  CASE WHEN area2 IS NULL THEN NULL ELSE false END AS bow_valid FROM s"""))
 def _(spark, sf):
     rows = ft.stored_buildings(spark, sf)
     # A bow-tie of the same bounds is never valid.
@@ -176,7 +176,7 @@ def _(spark, sf):
 MEETS = """(f.min_lon <= r.east AND f.max_lon >= r.west AND f.min_lat <= r.north AND f.max_lat >= r.south
   AND CASE f.shape
     WHEN 0 THEN 2*r.east - r.south >= 2*(f.x-f.h) - (f.y-f.h) AND 2*(f.x+f.h) - 2*r.west >= r.south - (f.y-f.h)
-    WHEN 1 THEN (f.y >= r.south) OR (f.x >= r.west) ELSE true END)"""
+    WHEN 4 THEN (f.y >= r.south) OR (f.x >= r.west) ELSE true END)"""
 CENTRED = """(f.cen_lon > r.west AND f.cen_lon < r.east AND f.cen_lat > r.south AND f.cen_lat < r.north)"""
 
 
