@@ -395,20 +395,39 @@ def _(spark, sf):
     return accepted_columns(import_city.run(elements(spark, sf)).buildings)
 
 
-@query("plan_import_from_files", raw(f"""
-SELECT city AS city_code, mesh, count(*) AS buildings, count(*) FILTER (WHERE is_mp = 1) AS multipolygons,
- round(sum(height), 3) AS heights FROM attr WHERE NOT {BROKEN} AND NOT EXISTS (SELECT 1 FROM ranked r WHERE r.rn > 1
- AND r.city = attr.city AND r.footprint = attr.footprint) GROUP BY ALL"""))
+# The import without the malformed files.
+WHOLE_FILES = BASE.replace("FROM kept JOIN fp USING (k))", f"FROM kept JOIN fp USING (k) WHERE NOT {BROKEN})")
+BY_MESH = """SELECT city AS city_code, count(*) AS buildings, count(*) FILTER (WHERE is_mp = 1) AS multipolygons,
+ round(sum(height), 3) AS heights, CAST(sum(building_levels) AS BIGINT) AS levels FROM attr GROUP BY 1"""
+
+
+def by_city(rows):
+    return rows.groupBy("city_code").agg(
+        F.count("*").alias("buildings"), F.count_if(F.col("source_element").startswith("r")).alias("multipolygons"),
+        F.round(F.sum("height"), 3).alias("heights"), F.sum("building_levels").alias("levels"))
+
+
+@query("plan_import_from_files", fs.with_ctes(fs.POS, WHOLE_FILES, body=BY_MESH))
 def _(spark, sf):
-    # From XML text to the clean table; the written file keys start with city=, and
-    # footprints with copies are left out on both sides since file order differs there.
+    # From XML text to the clean table; the folders of the written files start with city=.
     tables = mesh_xml.scan(spark, mesh_folder(spark, sf))
     cut = {n: df.withColumn("file_key", F.regexp_replace("file_key", "^city=", "")) for n, df in tables.items()}
-    rows = import_city.run(cut).buildings.filter("copies = 0").withColumn(
-        "mesh", F.regexp_extract("file_key", "mesh=([0-9]+)/", 1))
-    return rows.groupBy("city_code", "mesh").agg(
-        F.count("*").alias("buildings"), F.count_if(F.col("is_multipolygon") == 1).alias("multipolygons"),
-        F.round(F.sum("height"), 3).alias("heights"))
+    return by_city(import_city.run(cut).buildings)
+
+
+@query("str_01_drop_folder", fs.with_ctes(fs.POS, WHOLE_FILES, body=BY_MESH))
+def _(spark, sf):
+    # The same files taken in by a stream in several batches, city by city.
+    from meshfold.streaming import drop_folder
+
+    folder = mesh_folder(spark, sf)
+    work, buildings, nodes = (new_folder(spark, n) for n in ("drop", "buildings", "nodes"))
+    manifest = mesh_xml.list_files(spark, folder).groupBy(
+        drop_folder.city_of(F.col("file_key")).alias("city_code")).agg(
+        F.count("*").cast("string").alias("declared"))
+    files = max(1, mesh_xml.list_files(spark, folder).count() // 2)
+    drop_folder.run_available(spark, folder, manifest, work, buildings, nodes, files_per_batch=files)
+    return by_city(spark.read.parquet(buildings))
 
 
 @query("id_01_surrogate_ids", raw("SELECT id, city AS city_code, element AS source_element FROM acc"))

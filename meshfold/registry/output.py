@@ -361,7 +361,7 @@ def _(spark, sf):
 
 HULL = """, pts AS (SELECT DISTINCT city_code, CAST(round(cen_lon) AS BIGINT) AS px, CAST(round(cen_lat) AS BIGINT) AS py
    FROM s WHERE building_part IS NULL AND cen_lon IS NOT NULL),
-cities AS (SELECT city_code, list({'x': px, 'y': py}) AS l, arg_min({'x': px, 'y': py}, px * 10000000000 + py) AS p0
+cities AS (SELECT city_code, list({'x': px, 'y': py}) AS l, arg_min({'x': px, 'y': py}, px::HUGEINT * 10000000000 + py) AS p0
    FROM pts GROUP BY 1)"""
 WRAP = """
 SELECT city_code, CAST(count(*) AS INTEGER) AS corners, CAST(min(cx) AS BIGINT) AS min_lon, CAST(max(cx) AS BIGINT) AS max_lon,
@@ -390,10 +390,21 @@ def _(spark, sf):
                         F.array_max(xs).alias("max_lon"), g.area2(F.array("hull")).alias("hull_area2"))
 
 
-@query("geo_16_concave_hulls")
+@query("geo_16_concave_hulls", fs.on_buildings("""
+SELECT city_code, true AS simple, true AS corners_are_points, true AS not_above_convex FROM b
+ WHERE building_part IS NULL GROUP BY 1"""))
 def _(spark, sf):
-    hulls = coverage.concave_hulls(coverage.outline_points(ft.stored_buildings(spark, sf)))
-    return hulls.select("city_code", F.size("hull").alias("corners"), F.to_json("hull").alias("ring"))
+    # The hull itself is not fixed by a formula; its properties are checked.
+    points = coverage.outline_points(ft.stored_buildings(spark, sf))
+    hulls = coverage.concave_hulls(points)
+    corners = hulls.select("city_code", F.explode("hull").alias("v")).select("city_code", "v.lon_i", "v.lat_i")
+    strange = corners.join(points, ["city_code", "lon_i", "lat_i"], "left_anti").select("city_code").distinct()
+    convex = coverage.convex_hulls(points).withColumnRenamed("hull", "convex")
+    ring = F.array("hull")
+    return hulls.join(convex, "city_code").join(strange.withColumn("bad", F.lit(True)), "city_code", "left").select(
+        "city_code", g.is_valid(ring, g.edges(ring), g.area2(ring)).alias("simple"),
+        F.col("bad").isNull().alias("corners_are_points"),
+        (g.area2(ring) <= g.area2(F.array("convex"))).alias("not_above_convex"))
 
 
 @query("agg_05_coverage_counts", fs.on_buildings("""
@@ -674,7 +685,9 @@ def _(spark, sf):
         "parts", F.round("median_m", 3).alias("median_m"), F.round("max_m", 3).alias("max_m"))
 
 
-@query("dsg_01_near_duplicate_parts")
+@query("dsg_01_near_duplicate_parts", fs.on_shapes("""
+SELECT c.id, c.parent_building_id FROM s c JOIN s q ON q.id = c.parent_building_id WHERE c.p = q.p
+ AND q.height IS NOT NULL AND q.building_levels IS NOT NULL AND c.area2 > 0 AND q.area2 > 0"""))
 def _(spark, sf):
     return quality.near_duplicate_parts(_with_close_parts(spark, sf))
 
