@@ -62,12 +62,3 @@ def position_key(df: DataFrame) -> DataFrame:
 
 
 POSITION_KEY = ["key_lon", "key_lat", "key_height", "key_levels", "key_part"]
-
-
-def dedup_positions(df: DataFrame, group: list[str]) -> DataFrame:
-    """One row per position key: city boundary first, then city code, then id.
-
-    ``df`` carries ``inside`` (three-valued boundary flag).
-    """
-    flag = F.when(F.col("inside"), 0).otherwise(1)
-    return first_per_key(position_key(df), group + POSITION_KEY, [flag, "city_code", "id"])

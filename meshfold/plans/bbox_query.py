@@ -1,4 +1,9 @@
-"""The bounding-box query for a whole table of requests."""
+"""The bounding-box query for a whole table of requests.
+
+Everything that depends on a building alone (boundary flag, position key, tie
+order, part-meets-parent, interior point) is worked out once per building. Pairs of
+request and building, which are far more, carry only integers.
+"""
 
 from __future__ import annotations
 
@@ -6,49 +11,85 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meshfold.functions import geometry as g
+from meshfold.functions.ids import dense_ids
 from meshfold.operators import boundary, dedup
 from meshfold.operators.bbox import candidates
+from meshfold.session import cut_lineage
 
 ATTRIBUTES = [
     "id", "osm_id", "building", "height", "ele", "building_levels", "name", "addr_housenumber",
     "addr_street", "start_date", "building_material", "roof_material", "roof_shape", "amenity",
     "shop", "tourism", "leisure", "landuse", "building_part", "parent_building_id"]
 
-PLACE_ORDER = ["key_lon", "key_lat", "key_height", "key_levels", "key_part"]
+BOX = ["min_lon", "min_lat", "max_lon", "max_lat", "cen_lon", "cen_lat", "rings"]
 
 
 def flagged(buildings: DataFrame, master: DataFrame | None) -> DataFrame:
-    """Buildings with the boundary flag, computed once per building, not per pair."""
     return boundary.with_inside(buildings, master)
 
 
-def outline_candidates(requests, placed, mode="intersects") -> DataFrame:
-    """Outline pairs that pass the box and the own-city rule; ``placed`` = flagged()."""
-    outlines = boundary.keep_own_city(placed.filter(F.col("building_part").isNull()))
-    return candidates(requests, outlines, mode)
+def prepared(buildings: DataFrame, master: DataFrame | None) -> DataFrame:
+    """Outlines and orphan parts that may be answered, in one total order.
+
+    ``rank`` numbers them by position key, then boundary flag, city and id; ``place``
+    is the first rank of the same position key. So within a request the copies of a
+    building share ``place``, the one to keep has the least ``rank``, and the limit
+    counts in order of ``place``.
+    """
+    standing = F.col("building_part").isNull() | (
+        (F.col("building_part") == "yes") & F.col("parent_building_id").isNull())
+    rows = boundary.keep_own_city(flagged(buildings.filter(standing), master)).filter("cen_lon is not null")
+    keyed = dedup.position_key(rows).select(
+        "id", "city_code", "building_part", *BOX, *dedup.POSITION_KEY,
+        F.when(F.col("inside"), 0).otherwise(1).alias("sort_flag"))
+    numbered = dense_ids(keyed, [*dedup.POSITION_KEY, "sort_flag", "city_code", "id"], 1, "rank")
+    first = numbered.groupBy(*dedup.POSITION_KEY).agg(F.min("rank").alias("place"))
+    return numbered.join(first, dedup.POSITION_KEY).select("id", "building_part", "rank", "place", *BOX)
+
+
+def outline_candidates(requests, ready, mode="intersects") -> DataFrame:
+    """(request_id, row_limit, id, rank, place) of outlines; ``ready`` = prepared()."""
+    pairs = candidates(requests, ready.filter(F.col("building_part").isNull()), mode)
+    return pairs.select("request_id", "row_limit", "id", "rank", "place")
+
+
+def first_copies(pairs: DataFrame) -> DataFrame:
+    """One row per request and place: a hash aggregate on integers, folded map-side."""
+    return pairs.groupBy("request_id", "row_limit", "place").agg(F.min("rank").alias("rank"))
+
+
+def _ids(kept: DataFrame, ready: DataFrame) -> DataFrame:
+    return kept.join(ready.select("rank", "id"), "rank").select("request_id", "id")
+
+
+def outlines(requests, ready, mode="intersects") -> DataFrame:
+    """(request_id, id) of deduplicated outlines, cut to each request's limit."""
+    kept = first_copies(outline_candidates(requests, ready, mode))
+    cut = dedup.limit_per_group(kept, ["request_id"], [F.col("place")], "row_limit", ["rank"])
+    return _ids(cut, ready)
 
 
-def outlines(requests, placed, mode="intersects") -> DataFrame:
-    """Deduplicated outlines, cut to the request's limit in position-key order."""
-    kept = dedup.dedup_positions(outline_candidates(requests, placed, mode), ["request_id"])
-    order = [F.col(c).asc_nulls_last() for c in PLACE_ORDER]
-    return dedup.limit_per_group(kept, ["request_id"], order, "row_limit", ["id"])
+def orphan_parts(requests, ready, mode="intersects") -> DataFrame:
+    """(request_id, id) of parts without a parent; they are not limited."""
+    pairs = candidates(requests, ready.filter(F.col("building_part").isNotNull()), mode)
+    return _ids(first_copies(pairs), ready)
 
 
-def orphan_parts(requests, placed, mode="intersects") -> DataFrame:
-    parts = boundary.keep_own_city(placed.filter(
-        (F.col("building_part") == "yes") & F.col("parent_building_id").isNull()))
-    return dedup.dedup_positions(candidates(requests, parts, mode), ["request_id"])
+def part_links(buildings: DataFrame) -> DataFrame:
+    """(id, parent_building_id, intersects_parent) of every part with a parent."""
+    parents = buildings.select(F.col("id").alias("parent_building_id"), F.col("rings").alias("_parent"))
+    parts = buildings.filter(F.col("parent_building_id").isNotNull()).select(
+        "id", "parent_building_id", "rings")
+    return parts.join(parents, "parent_building_id").select(
+        "id", "parent_building_id", g.polygons_intersect(
+            g.edges(F.col("rings")), g.edges(F.col("_parent"))).alias("intersects_parent"))
 
 
 def related_parts(chosen: DataFrame, buildings: DataFrame) -> DataFrame:
     """All parts of the chosen outlines, in or out of the box, with the parent test."""
-    parents = chosen.select("request_id", F.col("id").alias("parent_building_id"),
-                            g.edges(F.col("rings")).alias("_parent_edges"))
-    parts = buildings.filter(F.col("parent_building_id").isNotNull())
-    joined = parts.join(parents, "parent_building_id")
-    return joined.withColumn("intersects_parent", g.polygons_intersect(
-        g.edges(F.col("rings")), F.col("_parent_edges"))).drop("_parent_edges")
+    parents = chosen.select("request_id", F.col("id").alias("parent_building_id"))
+    return part_links(buildings).join(parents, "parent_building_id").select(
+        "request_id", "id", "intersects_parent")
 
 
 def run(requests: DataFrame, buildings: DataFrame, master: DataFrame | None,
@@ -56,21 +97,17 @@ def run(requests: DataFrame, buildings: DataFrame, master: DataFrame | None,
     """Outlines, their parts and orphan parts of every request.
 
     One row per (request, building): attributes, ``intersects_parent`` and the
-    interior point. The interior point is computed for result rows only.
+    interior point.
     """
-    placed = flagged(buildings, master)
-    chosen = outlines(requests, placed, mode)
-    kinds = [
-        chosen.withColumn("intersects_parent", F.lit(None).cast("boolean")),
-        related_parts(chosen, buildings),
-        orphan_parts(requests, placed, mode).withColumn(
-            "intersects_parent", F.lit(None).cast("boolean")),
-    ]
-    columns = ["request_id", *ATTRIBUTES, "rings", "intersects_parent"]
-    union = kinds[0].select(*columns)
-    for part in kinds[1:]:
-        union = union.unionByName(part.select(*columns))
-    return with_interior_point(union)
+    ready = cut_lineage(prepared(buildings, master))
+    chosen = cut_lineage(outlines(requests, ready, mode))
+    unknown = F.lit(None).cast("boolean").alias("intersects_parent")
+    rows = (
+        chosen.select("request_id", "id", unknown)
+        .unionByName(related_parts(chosen, buildings))
+        .unionByName(orphan_parts(requests, ready, mode).select("request_id", "id", unknown)))
+    return rows.join(with_interior_point(buildings.select(*ATTRIBUTES, "rings")), "id").select(
+        "request_id", *ATTRIBUTES, "intersects_parent", "representative_point")
 
 
 def with_interior_point(df: DataFrame) -> DataFrame:
@@ -83,20 +120,20 @@ def with_interior_point(df: DataFrame) -> DataFrame:
     )
 
 
-def observability(requests, placed, mode="intersects", chosen: DataFrame | None = None) -> DataFrame:
-    """Per request: outline candidates, whether the limit cut, rows removed as duplicates.
+def observability(requests, ready, mode="intersects") -> DataFrame:
+    """Per request: outline candidates, whether the limit cut, rows removed as copies.
 
-    As in the row-level contract, the candidate count is read off returned outline
-    rows, so it is 0 where no outline is returned.
+    The number returned is the number of distinct places up to the limit, so both
+    counts come from one pass over the pairs.
     """
-    raw = outline_candidates(requests, placed, mode).groupBy("request_id").agg(
-        F.count("*").alias("outline_candidates"))
-    kept = (outlines(requests, placed, mode) if chosen is None else chosen).groupBy(
-        "request_id").agg(F.count("*").alias("outlines"))
-    full = requests.select("request_id", "row_limit").join(raw, "request_id", "left").join(
-        kept, "request_id", "left").fillna(0, ["outline_candidates", "outlines"])
+    per_place = outline_candidates(requests, ready, mode).groupBy("request_id", "place").agg(
+        F.count("*").alias("n"))
+    counts = per_place.groupBy("request_id").agg(
+        F.sum("n").alias("outline_candidates"), F.count("*").alias("_places"))
+    full = requests.select("request_id", "row_limit").join(counts, "request_id", "left").fillna(
+        0, ["outline_candidates", "_places"])
     hit = F.col("outline_candidates") > F.col("row_limit")
+    shown = F.least("_places", "row_limit")
     return full.select(
-        "request_id", "outline_candidates", "outlines", hit.alias("limit_hit"),
-        F.when(~hit, F.greatest(F.lit(0), F.col("outline_candidates") - F.col("outlines")))
-        .alias("deduped"))
+        "request_id", "outline_candidates", shown.alias("outlines"), hit.alias("limit_hit"),
+        F.when(~hit, F.greatest(F.lit(0), F.col("outline_candidates") - shown)).alias("deduped"))

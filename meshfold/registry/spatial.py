@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from meshfold.functions import geometry as g
 from meshfold.functions import numbers
-from meshfold.operators import bbox, boundary, dedup
+from meshfold.operators import bbox, boundary
 from meshfold.plans import bbox_query
 from meshfold.registry import fixture_sql as fs
 from meshfold.registry import fixture_tables as ft
@@ -272,6 +272,10 @@ def _(spark, sf):
     return _placed(spark, sf).select("id", F.when(F.col("inside"), 0).otherwise(1).alias("sort_flag"))
 
 
+def _ready(spark, sf):
+    return bbox_query.prepared(ft.stored_buildings(spark, sf), ft.city_master(spark, sf))
+
+
 # ---- dedup and limits ----------------------------------------------------
 
 KEYED = """, keyed AS (SELECT r.request_id, r.row_limit, f.*, CAST(round(cen_lon / 10) AS BIGINT) AS key_lon,
@@ -292,26 +296,26 @@ def keyed(cond, part):
 
 @query("win_01_cross_city_dedup", on_requests("SELECT request_id, id FROM dd", keyed(CENTRED, OUTLINE)))
 def _(spark, sf):
-    pairs = bbox_query.outline_candidates(ft.requests(spark, sf), _placed(spark, sf), "centroid")
-    return dedup.dedup_positions(pairs, ["request_id"]).select("request_id", "id")
+    ready = _ready(spark, sf)
+    pairs = bbox_query.outline_candidates(ft.requests(spark, sf), ready, "centroid")
+    return bbox_query._ids(bbox_query.first_copies(pairs), ready)
 
 
 @query("win_02_orphan_part_dedup", on_requests("SELECT request_id, id FROM dd", keyed(MEETS, ORPHAN)))
 def _(spark, sf):
-    return bbox_query.orphan_parts(ft.requests(spark, sf), _placed(spark, sf)).select("request_id", "id")
+    return bbox_query.orphan_parts(ft.requests(spark, sf), _ready(spark, sf))
 
 
 @query("win_03_candidates_before_dedup", on_requests("""
 SELECT request_id, count(*) AS outline_candidates FROM keyed GROUP BY request_id""", keyed(MEETS, OUTLINE)))
 def _(spark, sf):
-    pairs = bbox_query.outline_candidates(ft.requests(spark, sf), _placed(spark, sf))
+    pairs = bbox_query.outline_candidates(ft.requests(spark, sf), _ready(spark, sf))
     return pairs.groupBy("request_id").agg(F.count("*").alias("outline_candidates"))
 
 
 @query("srt_01_limit_in_key_order", on_requests("SELECT request_id, id FROM lim", keyed(CENTRED, OUTLINE)))
 def _(spark, sf):
-    return bbox_query.outlines(ft.requests(spark, sf), _placed(spark, sf), "centroid").select(
-        "request_id", "id")
+    return bbox_query.outlines(ft.requests(spark, sf), _ready(spark, sf), "centroid")
 
 
 @query("agg_15_dedup_observability", on_requests("""
@@ -321,7 +325,7 @@ SELECT r.request_id, coalesce(c, 0) AS outline_candidates, coalesce(n, 0) AS out
 FROM r LEFT JOIN (SELECT request_id, count(*) AS c FROM keyed GROUP BY 1) USING (request_id)
 LEFT JOIN (SELECT request_id, count(*) AS n FROM lim GROUP BY 1) USING (request_id)""", keyed(MEETS, OUTLINE)))
 def _(spark, sf):
-    return bbox_query.observability(ft.requests(spark, sf), _placed(spark, sf))
+    return bbox_query.observability(ft.requests(spark, sf), _ready(spark, sf))
 
 
 # ---- parts ---------------------------------------------------------------
@@ -353,12 +357,7 @@ KIN = """, kin AS (SELECT k AS ck, parent_building_id - 1 AS pk FROM b WHERE par
 SELECT ck + 1 AS id, pk + 1 AS parent_building_id, meets AS intersects_parent FROM kin LEFT JOIN meet USING (ck, pk)
 """)
 def _(spark, sf):
-    rows = ft.stored_buildings(spark, sf)
-    parents = rows.select(F.col("id").alias("parent_building_id"), g.edges(F.col("rings")).alias("pe"))
-    parts = rows.filter("parent_building_id is not null").select(
-        "id", "parent_building_id", g.edges(F.col("rings")).alias("ce"))
-    return parts.join(parents, "parent_building_id").select(
-        "id", "parent_building_id", g.polygons_intersect(F.col("ce"), F.col("pe")).alias("intersects_parent"))
+    return bbox_query.part_links(ft.stored_buildings(spark, sf))
 
 
 FULL = ", kin2 AS (SELECT DISTINCT k AS ck, parent_building_id - 1 AS pk FROM b WHERE parent_building_id IS NOT NULL)" \
@@ -378,8 +377,8 @@ res AS (SELECT request_id, id, NULL::BOOLEAN AS intersects_parent, 'outline' AS
                                             FULL.replace("{COND}", MEETS)))
 def _(spark, sf):
     stored = ft.stored_buildings(spark, sf)
-    chosen = bbox_query.outlines(ft.requests(spark, sf), _placed(spark, sf))
-    return bbox_query.related_parts(chosen, stored).select("request_id", "id", "intersects_parent")
+    chosen = bbox_query.outlines(ft.requests(spark, sf), _ready(spark, sf))
+    return bbox_query.related_parts(chosen, stored)
 
 
 @query("flt_15_drop_far_parts", on_requests("""
