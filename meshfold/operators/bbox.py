@@ -7,20 +7,18 @@ from pyspark.sql import functions as F
 
 from meshfold.functions import geometry as g
 
-BASE_CELL = 100_000  # finest cell, 0.01 degree
-LEVELS = 7           # each level is 4 times wider; the top one exceeds 40 degrees
+BASE_CELL = 25_000  # finest cell, 0.0025 degree
+LEVELS = 15         # each level is twice as wide; the top one exceeds 40 degrees
 
 
-def _level_for(extent: Column) -> Column:
-    """Finest level whose cell is at least as wide as the extent."""
-    level = F.lit(LEVELS - 1)
-    for n in range(LEVELS - 2, -1, -1):
-        level = F.when(extent <= BASE_CELL * 4 ** n, n).otherwise(level)
-    return level.cast("int")
+def _level_for(extent: Column, cells: int) -> Column:
+    """Finest level where ``cells`` cells are at least as wide as the extent."""
+    level = F.ceil(F.log2(F.greatest(extent, F.lit(1)) / F.lit(float(BASE_CELL * cells))))
+    return F.least(F.greatest(level, F.lit(0)), F.lit(LEVELS - 1)).cast("int")
 
 
 def _cell_size(level: Column) -> Column:
-    return (F.lit(BASE_CELL) * F.pow(F.lit(4), level)).cast("bigint")
+    return (F.lit(BASE_CELL) * F.pow(F.lit(2), level)).cast("bigint")
 
 
 def _cells(west, south, east, north, size) -> Column:
@@ -43,16 +41,17 @@ def used_levels(df: DataFrame, level: str) -> list[int]:
 def box_pairs(requests: DataFrame, boxes: DataFrame, spread: int = 8) -> DataFrame:
     """All (request, box) pairs whose boxes overlap, touching included.
 
-    ``boxes`` has id and min/max_lon/lat. Each side is sized to a level where it
-    covers at most four cells; a pair of levels joins at the coarser of the two,
-    so neither a huge request nor a huge building multiplies. A pair found in
+    ``boxes`` has id and min/max_lon/lat. Each side is sized to a level: a request to
+    one where it spans about four cells, so that little outside of it is met, a box
+    to one where it spans one. A pair of levels joins at the coarser of the two, so
+    neither a huge request nor a huge building multiplies. A pair found in
     several cells is kept only in the cell of its overlap's lower-left corner,
     which needs no shuffle. ``spread`` splits a crowded cell over many tasks.
     """
     r = requests.withColumn("_rl", _level_for(F.greatest(
-        F.col("east") - F.col("west"), F.col("north") - F.col("south"))))
+        F.col("east") - F.col("west"), F.col("north") - F.col("south")), 4))
     b = boxes.filter(F.col("min_lon").isNotNull()).withColumn("_bl", _level_for(F.greatest(
-        F.col("max_lon") - F.col("min_lon"), F.col("max_lat") - F.col("min_lat"))))
+        F.col("max_lon") - F.col("min_lon"), F.col("max_lat") - F.col("min_lat")), 1))
     r_levels, b_levels = used_levels(r, "_rl"), used_levels(b, "_bl")
     if not r_levels or not b_levels:
         r_levels, b_levels = r_levels or [0], b_levels or [0]
@@ -97,8 +96,10 @@ def candidates(requests: DataFrame, buildings: DataFrame, mode: str = "intersect
     pairs = box_pairs(requests, buildings, spread)
     box_inside = ((F.col("min_lon") >= F.col("west")) & (F.col("max_lon") <= F.col("east"))
                   & (F.col("min_lat") >= F.col("south")) & (F.col("max_lat") <= F.col("north")))
-    return pairs.filter(box_inside | g.box_intersects(
-        g.edges(F.col("rings")), F.col("west"), F.col("south"), F.col("east"), F.col("north")))
+    # Only pairs on the rim of a request look at the edges; CASE, unlike OR, keeps
+    # the edge list from being built for all the others.
+    return pairs.filter(F.when(box_inside, True).otherwise(g.box_intersects(
+        g.edges(F.col("rings")), F.col("west"), F.col("south"), F.col("east"), F.col("north"))))
 
 
 def read_bbox(requests: DataFrame, text: str = "bbox") -> DataFrame:

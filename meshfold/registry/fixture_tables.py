@@ -26,6 +26,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores where the input has fewer splits than that (one small file);
+    a large input keeps its own splits."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def _template(*rings) -> Column:
     """Corner factors as a constant array of rings."""
     return F.array(*[F.array(*[F.struct(F.lit(fx).cast("bigint").alias("fx"),
@@ -51,7 +58,7 @@ def positions(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                    F.col("y") + f["fy"] * half))
 
     return (
-        table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"))
+        spread(table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k")))
         .withColumn("p", p)
         .select(
             "k", "p",

@@ -127,6 +127,30 @@ def _(spark, sf):
         g.is_valid(F.col("bow"), g.edges(F.col("bow")), F.lit(1).cast("bigint")).alias("bow_valid"))
 
 
+@query("geo_13_even_odd_rule", fs.on_shapes("""
+SELECT id, true AS lobe_inside, false AS gap_inside FROM s WHERE area2 IS NOT NULL"""))
+def _(spark, sf):
+    # A self-crossing bow-tie is read by the even-odd rule: its lobes are inside, the
+    # gap above the crossing is not.
+    rows = ft.stored_buildings(spark, sf).filter("rings is not null")
+    west, south, east, north = F.col("min_lon"), F.col("min_lat"), F.col("max_lon") + 1, F.col("max_lat") + 1
+    bow = F.array(F.array(g.point(west, south), g.point(east, north), g.point(east, south), g.point(west, north)))
+    e = rows.withColumn("e", g.edges(bow))
+    return e.select(
+        "id", g.contains_point(F.col("e"), west + (east - west) / 8, (south + north) / 2).alias("lobe_inside"),
+        g.contains_point(F.col("e"), (west + east) / 2, north - (north - south) / 8).alias("gap_inside"))
+
+
+@query("flt_13_outlines_and_orphans", fs.on_buildings("""
+SELECT city_code, count(*) FILTER (WHERE building_part IS NULL) AS outlines, count(*) FILTER (WHERE building_part = 'yes'
+ AND parent_building_id IS NULL) AS orphans FROM b GROUP BY 1"""))
+def _(spark, sf):
+    part, parent = F.col("building_part"), F.col("parent_building_id")
+    return ft.stored_buildings(spark, sf).groupBy("city_code").agg(
+        F.count_if(part.isNull()).alias("outlines"),
+        F.count_if((part == "yes") & parent.isNull()).alias("orphans"))
+
+
 SCAN = fs.POS + "," + fs.GEOM + """,
 mids AS (SELECT k, (min_lat + max_lat) / 2.0 AS mid FROM box),
 scan AS (SELECT v.k, max(CASE WHEN vy <= mid THEN vy END) AS below, min(CASE WHEN vy > mid THEN vy END) AS above
