@@ -94,16 +94,17 @@ def convex_hulls(points: DataFrame, slices: int = 64) -> DataFrame:
 def dig_hull(xy: np.ndarray, ratio: float) -> np.ndarray:
     """Concave ring: long edges of the convex hull are dug in to the nearest point.
 
-    An edge is long above min + ratio * (max - min) of the hull's edge lengths. A
-    dig is taken if its triangle holds no other point and crosses no other edge, so
-    the ring stays simple and no point falls outside.
+    An edge is long above ``ratio`` times the longest edge of the convex hull. Points
+    on an edge become corners first. A dig is taken if its triangle holds no other
+    point and crosses no other edge, so the ring stays simple and no point falls
+    outside.
     """
     ring = [tuple(p) for p in convex_corners(xy)]
     if len(ring) < 3:
         return np.array(ring, dtype="int64").reshape(-1, 2)
     pts = np.unique(xy, axis=0).astype("float64")
     lengths = [np.hypot(b[0] - a[0], b[1] - a[1]) for a, b in zip(ring, ring[1:] + ring[:1])]
-    limit = min(lengths) + ratio * (max(lengths) - min(lengths))
+    limit = ratio * max(lengths)
     queue, used = list(zip(ring, ring[1:] + ring[:1])), set(ring)
 
     def side(a, b, p):
@@ -114,16 +115,24 @@ def dig_hull(xy: np.ndarray, ratio: float) -> np.ndarray:
         if np.hypot(b[0] - a[0], b[1] - a[1]) <= limit:
             continue
         free = pts[[tuple(p) not in used for p in pts.astype("int64")]]
-        free = free[side(a, b, free) > 0] if len(free) else free
+        turn = side(a, b, free) if len(free) else np.empty(0)
+        along = (free - a) @ (np.array(b, float) - a) if len(free) else turn
+        between = (turn == 0) & (along > 0) & (along < (b[0] - a[0]) ** 2 + (b[1] - a[1]) ** 2)
+        free = free[between] if between.any() else free[turn > 0]
         if not len(free):
             continue
         da = np.hypot(free[:, 0] - a[0], free[:, 1] - a[1])
         db = np.hypot(free[:, 0] - b[0], free[:, 1] - b[1])
         c = tuple(int(v) for v in free[np.argmin(np.maximum(da, db))])
+        at = ring.index(a) + 1
+        if between.any():
+            ring.insert(at, c)
+            used.add(c)
+            queue += [(a, c), (c, b)]
+            continue
         inside = ((side(a, b, pts) >= 0) & (side(b, c, pts) >= 0) & (side(c, a, pts) >= 0))
         if inside.sum() > 3:
             continue
-        at = ring.index(a) + 1
         others = [(p, q) for p, q in zip(ring, ring[1:] + ring[:1]) if (p, q) != (a, b)]
 
         def crosses(p, q, r, s):
