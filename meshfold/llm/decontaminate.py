@@ -1,9 +1,12 @@
 """Benchmark decontamination with DataFrame functions only.
 
-Each item's windows of ``window`` words (an item of fewer words is one window) are hashed
+An item's windows are its runs of ``window`` words (an item of fewer words is one window).
+Of a window of L words, every run of k = L - m + 1 words, with m = (L + 1) div 2, is hashed
 into a set that is broadcast while its size is below a bound, and joined by a shuffle
-beyond it. Every window of every document is looked up; the documents with a match are read
-again and the matching words compared, so equal hashes of other words count nothing.
+beyond it. In a document only the runs of k words that start at a multiple of m are looked
+up: wherever a window stands, it covers one of them whole. Each hit names the windows that
+have the run and where they would start; there the words themselves are compared, so equal
+hashes of other words count nothing.
 """
 
 from __future__ import annotations
@@ -15,46 +18,62 @@ from pyspark.sql import functions as F
 
 from meshfold.llm.common import lower_ascii, store, unused
 
-# A word character after A-Z are lower-cased, and before.
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-WORD_ANY_CASE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+# What stands between words after A-Z are lower-cased, and before; a word before.
+BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*"
+WORD_ANY_CASE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 def words(text: Column) -> Column:
     """Lower-cased words of a text; none for null."""
-    return F.coalesce(F.regexp_extract_all(lower_ascii(text), F.lit(WORD), F.lit(0)), F.array().cast("array<string>"))
+    return F.array_remove(F.split(F.coalesce(lower_ascii(text), F.lit("")), BETWEEN), "")
 
 
-def _starts(count: Column, length: int) -> Column:
-    """1 to the last start of a window; no start where the words don't suffice."""
-    return F.when(count >= length, F.sequence(F.lit(1), count - (length - 1))).otherwise(F.array().cast("array<int>"))
+def _step(length: int) -> int:
+    return (length + 1) // 2
 
 
 def item_windows(benchmark: DataFrame, item_id: str, text: str, window: int) -> DataFrame:
-    """Distinct windows: length, h, words, items (the ids, as strings, of all items that have it).
-    A null id is the string ''."""
+    """Distinct windows: number, length, words, items (the ids, as strings, of all items that
+    have it). A null id is the string ''."""
     items = benchmark.select(F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("item"),
                              words(F.col(text)).alias("words"))
     items = items.where(F.size("words") > 0).withColumn("length", F.least(F.size("words"), F.lit(window)))
     each = items.select("item", "length", F.explode(F.expr(
         "transform(sequence(1, size(words) - length + 1), i -> slice(words, i, length))")).alias("words"))
-    h = F.xxhash64(F.transform("words", lambda w: F.xxhash64(w)))
-    return each.groupBy("length", "words").agg(F.collect_set("item").alias("items")).withColumn("h", h)
+    windows = each.groupBy("length", "words").agg(F.collect_set("item").alias("items"))
+    return windows.withColumn("number", F.monotonically_increasing_id())
+
+
+def _runs(windows: DataFrame) -> DataFrame:
+    """length, h, inside, number: the hashed runs of each window and where they start in it."""
+    m = F.expr("(length + 1) div 2").cast("int")
+    hashes = F.transform("words", lambda w: F.xxhash64(w))
+    return windows.select("number", "length", m.alias("m"), hashes.alias("w")).select(
+        "number", "length", F.posexplode(F.expr(
+            "transform(sequence(1, m), i -> xxhash64(slice(w, i, length - m + 1)))")).alias("inside", "h"))
 
 
-def _found(docs: DataFrame, key: list[Column], text: Column, grams: DataFrame, lengths: list[int],
-           broadcast: bool) -> DataFrame:
-    """(key..., found): the windows whose hashes occur in each document, by position."""
-    w = docs.select(*key, F.transform(words(text), lambda x: F.xxhash64(x)).alias("w"))
+def _found(docs: DataFrame, id_: Column, mark_: Column, text: Column, windows: DataFrame, lengths: list[int],
+           broadcast_bytes: int) -> DataFrame:
+    """(id, mark, found): the windows that may stand in each document, by start."""
+    w = docs.select(id_.alias("id"), mark_.alias("mark"), F.transform(words(text), lambda x: F.xxhash64(x)).alias("w"))
 
-    def windows(length: int) -> Column:
-        return F.transform(_starts(F.size("w"), length), lambda i: F.struct(
-            F.lit(length).alias("length"), i.alias("at"), F.xxhash64(F.slice("w", i, length)).alias("h")))
+    def runs(length: int) -> Column:
+        m = _step(length)
+        k = length - m + 1
+        starts = F.when(F.size("w") >= k, F.sequence(F.lit(1), F.size("w") - (k - 1), F.lit(m))).otherwise(
+            F.array().cast("array<int>"))
+        return F.transform(starts, lambda i: F.struct(
+            F.lit(length).alias("length"), i.alias("place"), F.xxhash64(F.slice("w", i, k)).alias("h")))
 
-    each = w.select("id", "mark", F.inline(reduce(F.concat, map(windows, lengths))))
-    hit = each.join(F.broadcast(grams) if broadcast else grams, ["length", "h"])
-    return hit.groupBy("id", "mark").agg(F.collect_set(F.struct("at", "length", "words", "items")).alias("found"))
+    each = w.select("id", "mark", F.inline(reduce(F.concat, map(runs, lengths))))
+    known = store(_runs(windows), "benchmark-runs")
+    small = known.count() * 64 <= broadcast_bytes  # four numbers in a row
+    hit = each.join(F.broadcast(known) if small else known, ["length", "h"])
+    hit = hit.select("id", "mark", "number", (F.col("place") - F.col("inside")).alias("at")).where("at > 0").distinct()
+    named = hit.join(windows, "number")
+    return named.groupBy("id", "mark").agg(F.collect_set(F.struct("at", "length", "words", "items")).alias("found"))
 
 
 def mark(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text",
@@ -67,29 +86,28 @@ def mark(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: st
     share a window all count; repeated rows get the same answer; an empty table of items
     leaves all documents clean.
     """
-    grams = store(item_windows(benchmark, item_id, item_text, window), "benchmark-windows")
-    size = grams.agg(F.sum(F.octet_length(F.to_json("words")) + F.octet_length(F.to_json("items")) + 32)).first()[0]
-    lengths = [r.length for r in grams.select("length").distinct().collect()]  # at most ``window`` numbers
+    windows = store(item_windows(benchmark, item_id, item_text, window), "benchmark-windows")
+    lengths = [r.length for r in windows.select("length").distinct().collect()]  # at most ``window`` numbers
     ident, key, found = unused(docs, "ident", "key", "found")
     id_, mark_ = F.col(doc_id), F.xxhash64(F.col(text))
     none = "array<struct<at:int,length:int,words:array<string>,items:array<string>>>"
     if not lengths:
         joined = docs.withColumn(found, F.lit(None).cast(none))
     else:
-        hits = _found(docs, [id_.alias("id"), mark_.alias("mark")], F.col(text), grams, sorted(lengths),
-                      size <= broadcast_bytes)
+        hits = _found(docs, id_, mark_, F.col(text), windows, sorted(lengths), broadcast_bytes)
         hits = store(hits.select(F.col("id").alias(ident), F.col("mark").alias(key), F.col("found").alias(found)), "hits")
         joined = docs.join(hits, id_.eqNullSafe(F.col(ident)) & (mark_ == F.col(key)), "left").drop(ident, key)
     n_words, places, items = names
-    own = words(F.col(text))
-    # Only texts with a match are cut into words once more to be compared.
-    true = F.when(F.col(found).isNotNull(), F.filter(found, lambda x: F.slice(own, x["at"], x["length"]) == x["words"]))
-    true = F.coalesce(true, F.array().cast(none))
+    # Each step is used more than once by the next, so it stays a projection of its own and is computed once.
+    own, true = unused(joined, "own", "true")
+    cut = joined.withColumn(own, words(F.col(text)))
+    same = F.filter(F.coalesce(F.col(found), F.array().cast(none)),
+                    lambda x: F.slice(own, x["at"], x["length"]) == x["words"])
+    checked = cut.select(*docs.columns, F.size(own).cast("long").alias(n_words), same.alias(true))
     hit = F.array_sort(F.array_distinct(F.flatten(F.transform(
         true, lambda x: F.sequence(x["at"] - 1, x["at"] + x["length"] - 2)))))
     ids = F.array_sort(F.array_distinct(F.flatten(F.transform(true, lambda x: x["items"]))))
-    count = F.size(own).cast("long")
-    return joined.select(*docs.columns, count.alias(n_words), hit.alias(places), ids.alias(items))
+    return checked.select(*docs.columns, n_words, hit.alias(places), ids.alias(items))
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text",

@@ -5,8 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from meshfold.llm import decontaminate, packing, simhash, tokenfiles, tokens
-from meshfold.llm.common import table
+from meshfold.llm import decontaminate, packing, pii, quality, simhash, tokenfiles, tokens
+from meshfold.llm.common import fold, table
 from meshfold.llm.registry import query
 from meshfold.session import new_folder
 
@@ -62,3 +62,26 @@ def decontamination(spark, sf_dir):
         F.size("found_items").cast("long").alias("n_items"),
         F.sha2(F.array_join("found_items", ","), 256).alias("items_sha256"),
         (F.size("hits") > 0).alias("contaminated"))
+
+
+@query("op7_positive_unlabelled")
+def positive_unlabelled(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    weights = quality.train(docs, table(spark, sf_dir, "labels"))
+    scored = quality.score(docs, weights)
+    return scored.select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score",
+                         F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
+
+
+#: The key of the registered query; a real run sets its own in the session.
+PII_KEY = "a key for the registered query"
+
+
+def pii_key(spark) -> bytes:
+    return spark.conf.get("meshfold.pii.key", PII_KEY).encode()
+
+
+@query("op2_feistel_pseudonyms")
+def feistel_pseudonyms(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.pseudonymise(docs, pii_key(spark), count="n_values")
