@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from meshfold.llm import decontaminate, packing, pii, quality, simhash, tokenfiles, tokens
+from meshfold.llm import decontaminate, importance, packing, pii, quality, simhash, tokenfiles, tokens
 from meshfold.llm.common import fold, table
 from meshfold.llm.registry import query
 from meshfold.session import new_folder
@@ -85,3 +85,8 @@ def pii_key(spark) -> bytes:
 def feistel_pseudonyms(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return pii.pseudonymise(docs, pii_key(spark), count="n_values")
+
+
+@query("op6_hashed_ngram_ratio")
+def hashed_ngram_ratio(spark, sf_dir):
+    return importance.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
