@@ -17,7 +17,7 @@ def writer(uri: str):
     """An output stream; its folder is made where the store has folders."""
     store, path = _place(uri)
     store.create_dir(path.rsplit("/", 1)[0], recursive=True)
-    return store.open_output_stream(path)
+    return store.open_output_stream(path, compression=None)
 
 
 def reader(uri: str):

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from meshfold.llm import decontaminate, importance, packing, pii, quality, simhash, tokenfiles, tokens
+from meshfold.llm import decontaminate, importance, packing, pii, quality, simhash, tokenfiles, tokens, urlfilter, warc
 from meshfold.llm.common import fold, table
 from meshfold.llm.registry import query
 from meshfold.session import new_folder
@@ -90,3 +90,55 @@ def feistel_pseudonyms(spark, sf_dir):
 @query("op6_hashed_ngram_ratio")
 def hashed_ngram_ratio(spark, sf_dir):
     return importance.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+# Fixed values of the contract, and the names whose hosts are listed.
+RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
+LISTED = r"(^|\.)(casino-win|free-bets|cheap-pills|ads-track|spam-farm|adult-x)\."
+URL_SQL = rf"""
+WITH p AS (
+  SELECT page_id,
+    coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+    coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path FROM pages),
+r AS (
+  SELECT *, CASE
+    WHEN (host = 'example.net' OR suffix(host, '.example.net')) AND prefix(path, '/en/') THEN 'example.net/en/'
+    WHEN (host = 'example.com' OR suffix(host, '.example.com')) AND prefix(path, '/de/') THEN 'example.com/de/'
+    WHEN (host = 'org' OR suffix(host, '.org')) AND prefix(path, '/fr/') THEN 'org/fr/'
+    WHEN (host = 'net' OR suffix(host, '.net')) AND prefix(path, '/') THEN 'net/' END AS rule
+  FROM p)
+SELECT page_id, host, path, rule, CASE
+  WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
+  WHEN regexp_matches(host, '{LISTED}') THEN 'block' ELSE 'allow' END AS verdict
+FROM r"""
+
+
+@query("op9_bloom_cascade", URL_SQL)
+def bloom_cascade(spark, sf_dir):
+    url = F.col("url")
+    pages = table(spark, sf_dir, "pages").select("page_id", urlfilter.host(url).alias("host"),
+                                                 urlfilter.path(url).alias("path"))
+    pages = pages.withColumn("key", F.concat("host", "path"))
+    listed = pages.where(F.col("host").rlike(LISTED)).select("key")
+    rule, verdict = urlfilter.rule_of(F.col("host"), F.col("path"), RULES)
+    return urlfilter.is_listed(pages, "key", listed).select(
+        "page_id", "host", "path", rule.alias("rule"),
+        F.coalesce(verdict, F.when(F.col("listed"), "block").otherwise("allow")).alias("verdict"))
+
+
+WARC_SQL = """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+k AS (SELECT payload_digest, max(page_id) AS keeper FROM p WHERE payload_bytes >= 1000 GROUP BY payload_digest)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN keeper <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN keeper <> page_id THEN keeper END AS refers_to
+FROM p LEFT JOIN k USING (payload_digest)"""
+
+
+@query("op10_warc_normaliser", WARC_SQL)
+def warc_normaliser(spark, sf_dir):
+    streams, archives = new_folder(spark, "warc-streams"), new_folder(spark, "warc")
+    warc.write(table(spark, sf_dir, "pages"), streams)
+    warc.normalise_all(spark, streams, archives)
+    return warc.read(spark, archives).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
