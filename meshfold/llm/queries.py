@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from meshfold.llm import decontaminate, importance, packing, pii, quality, simhash, tokenfiles, tokens, urlfilter, warc
+from meshfold.llm import ctw, decontaminate, importance, packing, pii, quality, simhash, tokenfiles, tokens, urlfilter, warc
 from meshfold.llm.common import fold, table
 from meshfold.llm.registry import query
 from meshfold.session import new_folder
@@ -142,3 +142,8 @@ def warc_normaliser(spark, sf_dir):
     warc.normalise_all(spark, streams, archives)
     return warc.read(spark, archives).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op4_context_tree_weighting")
+def context_tree_weighting(spark, sf_dir):
+    return ctw.score(table(spark, sf_dir, "documents"))
