@@ -52,7 +52,7 @@ def grams(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
     return packed[wanted], np.cumsum(sizes + 1) - sizes - 1
 
 
-def _portions(values: list, most: int = 4 << 20):
+def _portions(values: list, most: int = 1 << 20):
     """Runs of values of about ``most`` bytes together."""
     held, size = [], 0
     for value in values:
@@ -153,7 +153,7 @@ def model(counts: DataFrame, depth: int, max_nodes: int) -> DataFrame:
         if total > max_nodes:
             least = 2 ** (r.k + 1)
             break
-    return found.where((F.col("depth") == 0) | (F.col("n") >= least)).select("depth", "node", "q")
+    return found.where((F.col("depth") == 0) | (F.col("n") >= least)).select("depth", "node", F.col("q").cast("float").alias("q"))
 
 
 class Scorer:
@@ -277,7 +277,7 @@ def _frequent(words: DataFrame, most: int) -> DataFrame:
 
 
 def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", folds: int = 5, held: int = 1, depth: int = 5,
-          max_nodes: int = 6_000_000, frequent_words: int = 1 << 18) -> DataFrame:
+          max_nodes: int = 1 << 21, frequent_words: int = 1 << 18) -> DataFrame:
     """doc_id, held_out, n_bytes, n_tokens, n_known, train_tokens, base_score, score and bits_per_byte
     of every whole text.
 
