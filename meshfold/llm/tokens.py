@@ -56,11 +56,10 @@ class Encoder:
 
     def _piece(self, piece: str) -> bytes | None:
         """Ids of a run of letters, by the model alone; None for any other piece."""
-        if not piece.isalpha():
-            return None
-        if not piece.isascii() and _WIDE.search(piece):
-            return None
+        wide = piece
         piece = piece.lower()
+        if not piece.isalpha() or not piece.isascii() and (_WIDE.search(wide) or _WIDE.search(piece)):
+            return None
         if not piece.isascii():
             piece = "".join(map(self.letters.__getitem__, piece.encode()))
         return array("I", [t.id for t in self.tokenizer.model.tokenize(piece)]).tobytes()
