@@ -98,7 +98,7 @@ def _counts(rows: DataFrame, buckets: int) -> tuple[np.ndarray, np.ndarray]:
 
 def judge(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality",
           buckets: int = 1 << 14, quantile: float = 0.002, slack: float = 0.5, bins: int = 1000,
-          broadcast_rows: int = 2_000_000, min_words: int = 50, max_repeat: float = 0.5) -> DataFrame:
+          broadcast_rows: int = 500_000, min_words: int = 50, max_repeat: float = 0.5) -> DataFrame:
     """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, ratio, kept
     for every document.
 
