@@ -157,20 +157,20 @@ def pack(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text",
     Sequences are ``window`` long but for the last of each shard, which is to be padded.
     """
     numbered = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    encoded = tokens.tokenise(numbered, ["doc_id"], "text", path)
-
-    def number(batches):
+    def number(batches):  # encodes as well: a Python worker more for each core would hold the vocabulary twice
+        encode = tokens.encoder(path).encode
         base = TaskContext.get().partitionId() << 32
         for batch in batches:
-            sizes = np.diff(np.frombuffer(batch.column(1).buffers()[1], "<i4", len(batch) + 1,
-                                          batch.column(1).offset * 4)) // 4
+            ids = encode(batch.column(1).to_pylist())
+            sizes = np.fromiter(map(len, ids), np.int64, len(ids))
             whole = sizes // window
             first = base + np.cumsum(whole) - whole
             base += int(whole.sum())
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(sizes.astype(np.int64)), pa.array(first)],
-                                             ["doc_id", "ids", "doc_tokens", "first"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([x.tobytes() for x in ids], pa.binary()), pa.array(sizes), pa.array(first)],
+                ["doc_id", "ids", "doc_tokens", "first"])
 
-    encoded = store(encoded.mapInArrow(number, "doc_id long, ids binary, doc_tokens long, first long"),
+    encoded = store(numbered.mapInArrow(number, "doc_id long, ids binary, doc_tokens long, first long"),
                     "packing-ids", compression="zstd")
     size = 4 * window
     windows = F.expr(f"transform(sequence(0L, doc_tokens div {window} - 1), k -> named_struct("
