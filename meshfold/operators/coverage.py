@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from meshfold import fixed_values as fv
 from meshfold.functions import geometry as g
+from meshfold.operators import maintenance
 
 CORNERS = "city_code string, lon_i bigint, lat_i bigint"
 
@@ -191,11 +192,14 @@ def coverage(buildings: DataFrame, ratio: float = fv.CONCAVE_RATIO) -> DataFrame
 
 
 def refresh(buildings: DataFrame, path: str, changed: DataFrame | None = None) -> None:
-    """Write the coverage table, whole or only the changed cities."""
+    """Write the coverage table, whole or only the changed cities; cities without buildings go."""
     rows = buildings if changed is None else buildings.join(
         changed.select("city_code").distinct(), "city_code", "left_semi")
-    (coverage(rows).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (coverage(rows).write.mode("overwrite")
+     .option("partitionOverwriteMode", "static" if changed is None else "dynamic")
      .partitionBy("city_code").parquet(path))
+    if changed is not None:
+        maintenance.empty_cities(changed, rows, path)
 
 
 def features(table: DataFrame) -> DataFrame:

@@ -35,10 +35,20 @@ def write_table(df: DataFrame, path: str, order: list[str], mode: str = "errorif
     _spread_by_city(df, order).write.mode(mode).partitionBy("city_code").parquet(path)
 
 
-def replace_cities(df: DataFrame, path: str, order: list[str]) -> None:
-    """Replace exactly the cities in ``df``; all other cities stay as they are."""
+def replace_cities(df: DataFrame, path: str, order: list[str], cities: DataFrame | None = None) -> None:
+    """Replace the cities in ``df`` and empty those of ``cities`` that have no row in it; all
+    other cities stay as they are."""
     (_spread_by_city(df, order).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy("city_code").parquet(path))
+    if cities is not None:
+        empty_cities(cities, df, path)
+
+
+def empty_cities(cities: DataFrame, df: DataFrame, path: str) -> None:
+    """Remove the stored rows of those ``cities`` that ``df`` has no row of."""
+    gone = cities.select("city_code").distinct().join(df.select("city_code"), "city_code", "left_anti")
+    for row in gone.where(F.col("city_code").rlike("^[0-9]{5}$")).collect():  # one short text per city
+        drop_city(df.sparkSession, path, row.city_code)
 
 
 def drop_city(spark: SparkSession, path: str, city_code: str) -> None:

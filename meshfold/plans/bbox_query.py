@@ -96,8 +96,8 @@ def run(requests: DataFrame, buildings: DataFrame, master: DataFrame | None,
         mode: str = "intersects") -> DataFrame:
     """Outlines, their parts and orphan parts of every request.
 
-    One row per (request, building): attributes, ``intersects_parent`` and the
-    interior point.
+    One row per (request, building), in the order of request and ``osm_id``: attributes,
+    ``intersects_parent`` and the interior point.
     """
     ready = cut_lineage(prepared(buildings, master))
     chosen = cut_lineage(outlines(requests, ready, mode))
@@ -107,7 +107,7 @@ def run(requests: DataFrame, buildings: DataFrame, master: DataFrame | None,
         .unionByName(related_parts(chosen, buildings))
         .unionByName(orphan_parts(requests, ready, mode).select("request_id", "id", unknown)))
     return rows.join(with_interior_point(buildings.select(*ATTRIBUTES, "rings")), "id").select(
-        "request_id", *ATTRIBUTES, "intersects_parent", "representative_point")
+        "request_id", *ATTRIBUTES, "intersects_parent", "representative_point").orderBy("request_id", "osm_id", "id")
 
 
 def with_interior_point(df: DataFrame) -> DataFrame:

@@ -122,7 +122,10 @@ def run(tables: dict[str, DataFrame], master: DataFrame | None = None, first_id:
     return Imported(buildings, node_rows(buildings), reject_report(judged), counts)
 
 
-def store(result: Imported, buildings_path: str, nodes_path: str) -> None:
-    """Replace the imported cities in the stored tables."""
-    maintenance.replace_cities(result.buildings.drop("numbered_rings", "copies"), buildings_path, ["id"])
-    maintenance.replace_cities(result.nodes, nodes_path, ["building_id"])
+def store(result: Imported, buildings_path: str, nodes_path: str, cities: DataFrame | None = None) -> None:
+    """Replace the imported cities in the stored tables: by default those that were judged. A
+    city without accepted rows ends empty."""
+    if cities is None:
+        cities = result.counts.select(F.col("city").alias("city_code"))
+    maintenance.replace_cities(result.buildings.drop("numbered_rings", "copies"), buildings_path, ["id"], cities)
+    maintenance.replace_cities(result.nodes, nodes_path, ["building_id"], cities)

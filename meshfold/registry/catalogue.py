@@ -336,14 +336,14 @@ def _(spark, sf):
 @query("flt_28_conversion_check", """SELECT city_code, osm, gml, empty, unclosed, osm = gml AND empty = 0 AND unclosed = 0 AS passed
 FROM (SELECT CAST(13101 + page_id % 22 AS VARCHAR) AS city_code, count(*) FILTER (WHERE page_id % 9 <> 1) AS osm, count(*) AS gml,
  count(*) FILTER (WHERE page_id % 9 <> 1 AND page_id % 31 = 5) AS empty, count(*) FILTER (WHERE page_id % 9 <> 1 AND
- page_id % 31 <> 5 AND NOT contains(right(html, 200), '</html>')) AS unclosed FROM pages GROUP BY 1)""")
+ page_id % 31 <> 5 AND NOT regexp_matches(html, '</html>\\s*$')) AS unclosed FROM pages GROUP BY 1)""")
 def _(spark, sf):
     p = F.col("page_id")
     pages = ft.table(spark, sf, "pages").withColumn("city_code", (F.lit(13101) + p % 22).cast("string"))
     osm = pages.filter(p % 9 != 1).select(
         "city_code", F.concat(p.cast("string"), F.lit(".osm")).alias("name"),
         F.when(p % 31 == 5, 0).otherwise(F.octet_length("html")).alias("length"),
-        F.contains(F.substring("html", -200, 200), F.lit("</html>")).alias("closed"))
+        F.col("html").rlike(r"</html>\s*$").alias("closed"))
     gml = pages.select("city_code", F.concat(p.cast("string"), F.lit(".gml")).alias("name"),
                        F.lit(1).alias("length"), F.lit(True).alias("closed"))
     return inventory.conversion_check(osm.unionByName(gml))

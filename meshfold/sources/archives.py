@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import io
 import zipfile
+import zlib
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -43,8 +44,8 @@ def _walk(batches, schema, rows_of):
             try:
                 with zipfile.ZipFile(io.BytesIO(content.as_py())) as archive:
                     rows = list(rows_of(name.as_py(), archive))
-            except (zipfile.BadZipFile, EOFError):
-                continue
+            except (zipfile.BadZipFile, zlib.error, EOFError, OSError, ValueError, RuntimeError):
+                continue  # cut, damaged, encrypted or packed by an unknown method
             # One archive per batch keeps a task's memory at one archive.
             yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
