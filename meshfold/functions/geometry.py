@@ -69,16 +69,17 @@ def edges(rings: Column) -> Column:
 # ---- measures ------------------------------------------------------------
 
 def _ring_moments(ring: Column, x0: Column, y0: Column) -> Column:
-    """(twice the area, x moment, y moment) of one ring around (x0, y0), made positive."""
-    zero = F.lit(0).cast("bigint")
-    start = F.struct(zero.alias("a"), zero.alias("mx"), zero.alias("my"))
+    """(twice the area, x moment, y moment) of one ring around (x0, y0), made positive. The
+    moments are doubles: exact to about 0.01 degree, and beyond it they never overflow."""
+    zero, none = F.lit(0).cast("bigint"), F.lit(0.0)
+    start = F.struct(zero.alias("a"), none.alias("mx"), none.alias("my"))
 
     def add(acc, e):
         dx1, dy1, dx2, dy2 = e["x1"] - x0, e["y1"] - y0, e["x2"] - x0, e["y2"] - y0
         cross = dx1 * dy2 - dx2 * dy1
         return F.struct((acc["a"] + cross).alias("a"),
-                        (acc["mx"] + cross * (dx1 + dx2)).alias("mx"),
-                        (acc["my"] + cross * (dy1 + dy2)).alias("my"))
+                        (acc["mx"] + cross.cast("double") * (dx1 + dx2)).alias("mx"),
+                        (acc["my"] + cross.cast("double") * (dy1 + dy2)).alias("my"))
 
     def positive(acc):
         s = F.when(acc["a"] < 0, F.lit(-1)).otherwise(F.lit(1)).cast("bigint")
@@ -92,8 +93,8 @@ def moments(rings: Column) -> Column:
     """Moments of a polygon, holes taken off; relative to its first vertex."""
     first = rings[0][0]
     per_ring = F.transform(rings, lambda r: _ring_moments(r, first["lon_i"], first["lat_i"]))
-    zero = F.lit(0).cast("bigint")
-    start = F.struct(zero.alias("n"), zero.alias("a"), zero.alias("mx"), zero.alias("my"))
+    zero, none = F.lit(0).cast("bigint"), F.lit(0.0)
+    start = F.struct(zero.alias("n"), zero.alias("a"), none.alias("mx"), none.alias("my"))
 
     def add(acc, m):
         s = F.when(acc["n"] == 0, F.lit(1)).otherwise(F.lit(-1)).cast("bigint")
@@ -105,8 +106,7 @@ def moments(rings: Column) -> Column:
 
 
 def area2(rings: Column) -> Column:
-    """Twice the area in (1e-7 degree)^2, holes taken off; safe for whole countries,
-    where the moments would overflow."""
+    """Twice the area in (1e-7 degree)^2, holes taken off; safe for whole countries."""
     def ring_area2(ring):
         x0, y0 = ring[0]["lon_i"], ring[0]["lat_i"]
         return F.abs(F.aggregate(ring_edges(ring), F.lit(0).cast("bigint"), lambda acc, e: acc + (
@@ -141,8 +141,8 @@ def centroid(rings: Column, m: Column) -> Column:
     """STRUCT<lon, lat> (DOUBLE, 1e-7 degree) from ``m = moments(rings)``."""
     first = rings[0][0]
     by_area = F.struct(
-        (first["lon_i"] + m["mx"].cast("double") / (3 * m["a"]).cast("double")).alias("lon"),
-        (first["lat_i"] + m["my"].cast("double") / (3 * m["a"]).cast("double")).alias("lat"))
+        (first["lon_i"] + m["mx"] / (3 * m["a"]).cast("double")).alias("lon"),
+        (first["lat_i"] + m["my"] / (3 * m["a"]).cast("double")).alias("lat"))
     return F.when(m["a"] != 0, by_area).otherwise(_line_centroid(rings))
 
 
@@ -316,11 +316,14 @@ def is_valid(rings: Column, edge_list: Column, polygon_area2: Column) -> Column:
     outer = ring_edges(rings[0])
 
     def simple(ring):
-        segs = ring_edges(ring)
-        n = F.size(ring)
-        return ~F.exists(F.sequence(F.lit(0), n - 3), lambda i: F.exists(
-            F.when(i + 2 <= n - 1, F.sequence(i + 2, n - 1)).otherwise(F.array().cast("array<int>")),
-            lambda j: ((i != 0) | (j != n - 1)) & _segments_meet(F.get(segs, i), F.get(segs, j))))
+        # Arrays of one element bind a value, so that it is computed once and not per pair.
+        def apart(segs):
+            n = F.size(segs)
+            return ~F.exists(F.sequence(F.lit(0), n - 3), lambda i: F.exists(
+                F.slice(segs, i + 1, F.lit(1)), lambda a: F.exists(
+                    F.slice(segs, i + 3, n - 2 - F.greatest(i, F.lit(1))), lambda b: _segments_meet(a, b))))
+
+        return F.forall(F.array(ring_edges(ring)), apart)
 
     holes = F.slice(rings, F.lit(2), F.greatest(F.size(rings) - 1, F.lit(0)))
     return (F.when(rings.isNull(), F.lit(None).cast("boolean"))

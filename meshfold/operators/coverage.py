@@ -7,6 +7,8 @@ group. No city's points are ever gathered in one task.
 
 from __future__ import annotations
 
+import heapq
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -15,7 +17,7 @@ from pyspark.sql import functions as F
 
 from meshfold import fixed_values as fv
 from meshfold.functions import geometry as g
-from meshfold.operators import maintenance
+from meshfold.operators import boundary, maintenance
 
 CORNERS = "city_code string, lon_i bigint, lat_i bigint"
 
@@ -56,20 +58,40 @@ def convex_corners(xy: np.ndarray) -> np.ndarray:
     return np.array(chain(pts) + chain(pts[::-1]), dtype="int64")
 
 
-def _reduce_task(batches):
-    """Corners per city of all rows of one task, folding batch by batch."""
-    kept: dict = {}
-    for batch in batches:
-        table = pa.Table.from_batches([batch]).sort_by("city_code")
-        cities = np.array(table.column("city_code").to_pylist(), dtype=object)
-        xy = np.column_stack([table.column("lon_i").to_numpy(), table.column("lat_i").to_numpy()])
-        starts = np.flatnonzero(np.r_[True, cities[1:] != cities[:-1]]) if len(cities) else []
-        for city, part in zip(cities[starts], np.split(xy, starts[1:])) if len(cities) else ():
-            kept[city] = convex_corners(np.vstack([kept[city], part]) if city in kept else part)
-    for city, xy in kept.items():
-        yield pa.RecordBatch.from_pydict({
-            "city_code": pa.array([city] * len(xy), pa.string()),
-            "lon_i": pa.array(xy[:, 0], pa.int64()), "lat_i": pa.array(xy[:, 1], pa.int64())})
+def _corners_per(keys: list[str], most: int = 1 << 20):
+    """Reduces the rows of one task to hull corners per key, folding batch by batch. What is
+    held is given out, and begun anew, above ``most`` corners; a later step meets them again."""
+    def given(kept):
+        sizes = [len(xy) for xy in kept.values()]
+        both = np.vstack(list(kept.values()))
+        columns = {k: np.repeat(np.array([key[i] for key in kept], dtype=object), sizes).tolist()
+                   for i, k in enumerate(keys)}
+        return columns, both
+
+    def run(batches):
+        kept: dict = {}
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            table = pa.Table.from_batches([batch]).sort_by([(k, "ascending") for k in keys])
+            values = [np.array(table.column(k).to_pylist(), dtype=object) for k in keys]
+            xy = np.column_stack([table.column("lon_i").to_numpy(), table.column("lat_i").to_numpy()])
+            new = np.r_[True, np.any([v[1:] != v[:-1] for v in values], axis=0)]
+            starts = np.flatnonzero(new)
+            for key, part in zip(zip(*(v[starts] for v in values)), np.split(xy, starts[1:])):
+                kept[key] = convex_corners(np.vstack([kept[key], part]) if key in kept else part)
+            if sum(map(len, kept.values())) > most:
+                yield record(*given(kept), batch.schema)
+                kept = {}
+        if kept:
+            yield record(*given(kept), batch.schema)
+
+    def record(columns, xy, schema):
+        arrays = [pa.array(columns[k], schema.field(k).type) for k in keys]
+        return pa.RecordBatch.from_arrays(
+            [*arrays, pa.array(xy[:, 0], pa.int64()), pa.array(xy[:, 1], pa.int64())], [*keys, "lon_i", "lat_i"])
+
+    return run
 
 
 def _hull_row(pdf, ring) -> pd.DataFrame:
@@ -79,9 +101,10 @@ def _hull_row(pdf, ring) -> pd.DataFrame:
 
 def convex_hulls(points: DataFrame, slices: int = 64) -> DataFrame:
     """(city_code, hull ring) from (city_code, lon_i, lat_i)."""
-    partial = points.mapInArrow(_reduce_task, CORNERS)
+    reduce_task = _corners_per(["city_code"])
+    partial = points.mapInArrow(reduce_task, CORNERS)
     salted = partial.repartition("city_code", F.pmod(F.xxhash64("lon_i", "lat_i"), F.lit(slices)))
-    fewer = salted.mapInArrow(_reduce_task, CORNERS)
+    fewer = salted.mapInArrow(reduce_task, CORNERS)
 
     def finish(pdf):
         return _hull_row(pdf, convex_corners(pdf[["lon_i", "lat_i"]].to_numpy("int64")))
@@ -92,71 +115,86 @@ def convex_hulls(points: DataFrame, slices: int = 64) -> DataFrame:
         F.arrays_zip("lons", "lats"), lambda z: g.point(z["lons"], z["lats"])).alias("hull"))
 
 
-def dig_hull(xy: np.ndarray, ratio: float) -> np.ndarray:
-    """Concave ring: long edges of the convex hull are dug in to the nearest point.
+def _side(a, b, p) -> np.ndarray:
+    return (b[..., 0] - a[..., 0]) * (p[..., 1] - a[..., 1]) - (b[..., 1] - a[..., 1]) * (p[..., 0] - a[..., 0])
+
+
+def _crossed(p, q, starts: np.ndarray, ends: np.ndarray) -> bool:
+    """Whether the segment pq meets any of the segments that do not share an end with it."""
+    apart = ~((starts == p).all(1) | (starts == q).all(1) | (ends == p).all(1) | (ends == q).all(1))
+    r, s = starts[apart], ends[apart]
+    return bool(((_side(p, q, r) * _side(p, q, s) <= 0) & (_side(r, s, p) * _side(r, s, q) <= 0)).any())
+
+
+def dig_hull(xy: np.ndarray, ratio: float, cells: np.ndarray | None = None, tries: int = 8) -> np.ndarray:
+    """Concave ring: long edges of the convex hull are dug in, the longest first, to the point
+    that sees them under the widest angle.
 
     An edge is long above ``ratio`` times the longest edge of the convex hull. Points
     on an edge become corners first. A dig is taken if its triangle holds no other
     point and crosses no other edge, so the ring stays simple and no point falls
-    outside.
+    outside; an edge for which the first ``tries`` points fail stays as it is. With ``cells``, the number of each
+    point's grid cell, the points stand for the convex hulls of their cells: a dig may not
+    cut into any of these either, so whatever lies in them stays inside.
     """
-    ring = [tuple(p) for p in convex_corners(xy)]
+    ring = [tuple(p) for p in convex_corners(xy).tolist()]
     if len(ring) < 3:
         return np.array(ring, dtype="int64").reshape(-1, 2)
+    hulls = []
+    if cells is not None:
+        order = np.argsort(cells, kind="stable")
+        hulls = map(convex_corners, np.split(xy[order], np.flatnonzero(np.diff(cells[order])) + 1))
+        hulls = [h for h in hulls if len(h) > 1]
+    wall0 = np.vstack([np.empty((0, 2)), *hulls])
+    wall1 = np.vstack([np.empty((0, 2)), *(np.roll(h, -1, axis=0) for h in hulls)])
+    walls = {frozenset((tuple(p), tuple(q))) for p, q in zip(wall0.tolist(), wall1.tolist())}
     pts = np.unique(xy, axis=0).astype("float64")
-    lengths = [np.hypot(b[0] - a[0], b[1] - a[1]) for a, b in zip(ring, ring[1:] + ring[:1])]
-    limit = ratio * max(lengths)
-    queue, used = list(zip(ring, ring[1:] + ring[:1])), set(ring)
-
-    def side(a, b, p):
-        return (b[0] - a[0]) * (p[..., 1] - a[1]) - (b[1] - a[1]) * (p[..., 0] - a[0])
-
-    while queue:
-        a, b = queue.pop()
-        if np.hypot(b[0] - a[0], b[1] - a[1]) <= limit:
-            continue
-        free = pts[[tuple(p) not in used for p in pts.astype("int64")]]
-        turn = side(a, b, free) if len(free) else np.empty(0)
-        along = (free - a) @ (np.array(b, float) - a) if len(free) else turn
-        between = (turn == 0) & (along > 0) & (along < (b[0] - a[0]) ** 2 + (b[1] - a[1]) ** 2)
-        free = free[between] if between.any() else free[turn > 0]
-        if not len(free):
+    place = {tuple(p): i for i, p in enumerate(pts.tolist())}
+    free = np.ones(len(pts), bool)
+    free[[place[p] for p in ring]] = False
+    def length(p, q):
+        return float(np.hypot(q[0] - p[0], q[1] - p[1]))
+
+    queue = [(-length(p, q), (p, q)) for p, q in zip(ring, ring[1:] + ring[:1])]
+    heapq.heapify(queue)
+    limit = -ratio * queue[0][0]
+    while queue and -queue[0][0] > limit:
+        edge = heapq.heappop(queue)[1]
+        a, b = np.array(edge, float)
+        if frozenset(edge) in walls:
             continue
-        da = np.hypot(free[:, 0] - a[0], free[:, 1] - a[1])
-        db = np.hypot(free[:, 0] - b[0], free[:, 1] - b[1])
-        c = tuple(int(v) for v in free[np.argmin(np.maximum(da, db))])
-        at = ring.index(a) + 1
-        if between.any():
-            ring.insert(at, c)
-            used.add(c)
-            queue += [(a, c), (c, b)]
-            continue
-        inside = ((side(a, b, pts) >= 0) & (side(b, c, pts) >= 0) & (side(c, a, pts) >= 0))
-        if inside.sum() > 3:
-            continue
-        others = [(p, q) for p, q in zip(ring, ring[1:] + ring[:1]) if (p, q) != (a, b)]
-
-        def crosses(p, q, r, s):
-            if len({p, q, r, s}) < 4:
-                return False
-            s1, s2 = side(p, q, np.array(r, float)), side(p, q, np.array(s, float))
-            s3, s4 = side(r, s, np.array(p, float)), side(r, s, np.array(q, float))
-            return s1 * s2 <= 0 and s3 * s4 <= 0
-
-        if any(crosses(a, c, p, q) or crosses(c, b, p, q) for p, q in others):
-            continue
-        ring.insert(at, c)
-        used.add(c)
-        queue += [(a, c), (c, b)]
+        turn, along = _side(a, b, pts), (pts - a) @ (b - a)
+        between = free & (turn == 0) & (along > 0) & (along < (b - a) @ (b - a))
+        found = np.flatnonzero(between if between.any() else free & (turn > 0))
+        # The widest angle over the edge first: no other point lies in that triangle.
+        narrow = ((a - pts[found]) * (b - pts[found])).sum(1) / np.where(turn[found] == 0, 1, turn[found])
+        start = np.array(ring, float)
+        end = np.roll(start, -1, axis=0)
+        at = ring.index(edge[0])
+        others = np.arange(len(ring)) != at
+        for i in found[np.argsort(narrow, kind="stable")[:1 if between.any() else tries]]:
+            c = pts[i]
+            if not between.any():
+                inside = (turn >= 0) & (_side(b, c, pts) >= 0) & (_side(c, a, pts) >= 0)
+                if inside.sum() > 3 or any(_crossed(p, q, x, y) for p, q in ((a, c), (c, b))
+                                           for x, y in ((start[others], end[others]), (wall0, wall1))):
+                    continue
+            corner = tuple(int(v) for v in c)
+            ring.insert(at + 1, corner)
+            free[i] = False
+            for p, q in ((edge[0], corner), (corner, edge[1])):
+                heapq.heappush(queue, (-length(p, q), (p, q)))
+            break
     return np.array(ring, dtype="int64")
 
 
 def concave_hulls(points: DataFrame, ratio: float = fv.CONCAVE_RATIO, cells: int = 32) -> DataFrame:
-    """(city_code, hull): concave ring per city, convex where a city has too few points.
+    """(city_code, hull): concave ring per city that covers every point; one or two corners
+    where the points have no area.
 
-    The points are thinned to at most four per grid cell (a city's box has
-    cells x cells), by an aggregate, before a city is gathered; the four are the
-    cell's extreme points, so the outline keeps its shape to the cell size.
+    The points of each grid cell (a city's box has cells x cells) are reduced to the corners
+    of their convex hull, in every task and then per cell; a city gathers corners only,
+    and its ring never cuts into a cell's hull.
     """
     box = points.groupBy("city_code").agg(
         F.min("lon_i").alias("x0"), F.max("lon_i").alias("x1"),
@@ -166,24 +204,30 @@ def concave_hulls(points: DataFrame, ratio: float = fv.CONCAVE_RATIO, cells: int
         return F.floor((F.col(v) - F.col(low)) * cells / (F.col(high) - F.col(low) + 1))
 
     placed = points.join(box, "city_code").select(
-        "city_code", cell("lon_i", "x0", "x1").alias("cx"), cell("lat_i", "y0", "y1").alias("cy"),
+        "city_code", (cell("lon_i", "x0", "x1") * cells + cell("lat_i", "y0", "y1")).cast("int").alias("cell"),
         "lon_i", "lat_i")
-    xy, yx = F.struct("lon_i", "lat_i"), F.struct("lat_i", "lon_i")
-    extremes = placed.groupBy("city_code", "cx", "cy").agg(
-        F.min(xy).alias("a"), F.max(xy).alias("b"), F.min(yx).alias("c"), F.max(yx).alias("d"))
-    thinned = extremes.select("city_code", F.explode(F.array(
-        "a", "b", F.struct("c.lon_i", "c.lat_i"), F.struct("d.lon_i", "d.lat_i"))).alias("p")).select(
-        "city_code", "p.lon_i", "p.lat_i").distinct()
+    schema = "city_code string, cell int, lon_i bigint, lat_i bigint"
+    reduce_task = _corners_per(["city_code", "cell"])
+    corners = placed.mapInArrow(reduce_task, schema).repartition("city_code", "cell").mapInArrow(reduce_task, schema)
 
     def finish(pdf):
-        return _hull_row(pdf, dig_hull(pdf[["lon_i", "lat_i"]].to_numpy("int64"), ratio))
+        return _hull_row(pdf, dig_hull(pdf[["lon_i", "lat_i"]].to_numpy("int64"), ratio, pdf["cell"].to_numpy()))
 
-    hulls = thinned.groupBy("city_code").applyInPandas(
+    hulls = corners.groupBy("city_code").applyInPandas(
         finish, "city_code string, lons array<bigint>, lats array<bigint>")
     return hulls.select("city_code", F.transform(
         F.arrays_zip("lons", "lats"), lambda z: g.point(z["lons"], z["lats"])).alias("hull"))
 
 
+def covered_counts(points: DataFrame, hulls: DataFrame) -> DataFrame:
+    """(city_code, points, outside): how many points their city's hull does not cover."""
+    bands = boundary.boundary_bands(hulls.select("city_code", F.array(F.array("hull")).alias("boundary")))
+    placed = points.withColumn("band", F.floor(F.col("lat_i") / boundary.BAND))
+    covered = F.coalesce(g.covers_point(F.col("edges"), F.col("lon_i"), F.col("lat_i")), F.lit(False))
+    return placed.join(bands, ["city_code", "band"], "left").groupBy("city_code").agg(
+        F.count("*").alias("points"), F.count(F.when(~covered, 1)).alias("outside"))
+
+
 def coverage(buildings: DataFrame, ratio: float = fv.CONCAVE_RATIO) -> DataFrame:
     """(city_code, hull, building_count): the coverage table."""
     hulls = concave_hulls(outline_points(buildings), ratio)
@@ -203,15 +247,22 @@ def refresh(buildings: DataFrame, path: str, changed: DataFrame | None = None) -
 
 
 def features(table: DataFrame) -> DataFrame:
-    """One GeoJSON feature per city."""
-    geometry = F.struct(F.lit("Polygon").alias("type"), F.array(F.transform(
-        g.close_ring(F.col("hull")),
-        lambda v: F.array(v["lon_i"] / 1e7, v["lat_i"] / 1e7))).alias("coordinates"))
-    return table.select("city_code", F.to_json(F.struct(
-        F.lit("Feature").alias("type"), F.col("city_code").alias("id"),
-        F.when(F.size("hull") >= 3, geometry).alias("geometry"),
-        F.struct("city_code", "building_count").alias("properties"),
-    ), {"ignoreNullFields": "false"}).alias("feature"))
+    """One GeoJSON feature per city: a polygon, or a point or line where its points have no area."""
+    place = lambda v: F.array(v["lon_i"] / 1e7, v["lat_i"] / 1e7)
+
+    def feature(kind, coordinates):
+        geometry = F.struct(F.lit(kind).alias("type"), coordinates.alias("coordinates"))
+        return F.to_json(F.struct(
+            F.lit("Feature").alias("type"), F.col("city_code").alias("id"),
+            F.when(F.size("hull") >= 1, geometry).alias("geometry"),
+            F.struct("city_code", "building_count").alias("properties"),
+        ), {"ignoreNullFields": "false"})
+
+    hull = F.col("hull")
+    return table.select("city_code", F.when(F.size(hull) == 1, feature("Point", place(hull[0])))
+                        .when(F.size(hull) == 2, feature("LineString", F.transform(hull, place)))
+                        .otherwise(feature("Polygon", F.array(F.transform(g.close_ring(hull), place))))
+                        .alias("feature"))
 
 
 def feature_collection(table: DataFrame) -> DataFrame:

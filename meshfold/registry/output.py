@@ -390,28 +390,34 @@ def _(spark, sf):
                         F.array_max(xs).alias("max_lon"), g.area2(F.array("hull")).alias("hull_area2"))
 
 
-@query("geo_16_concave_hulls", fs.on_buildings("""
-SELECT city_code, true AS simple, true AS corners_are_points, true AS not_above_convex FROM b
- WHERE building_part IS NULL GROUP BY 1"""))
+@query("geo_16_concave_hulls", fs.on_shapes("""
+SELECT city_code, true AS simple, true AS corners_are_points, true AS not_above_convex, count(*) AS points,
+  CAST(0 AS BIGINT) AS outside FROM s
+ WHERE building_part IS NULL AND cen_lon IS NOT NULL AND city_code IS NOT NULL GROUP BY 1"""))
 def _(spark, sf):
     # The hull itself is not fixed by a formula; its properties are checked.
     points = coverage.outline_points(ft.stored_buildings(spark, sf))
-    hulls = coverage.concave_hulls(points)
+    hulls = cut_lineage(coverage.concave_hulls(points))
     corners = hulls.select("city_code", F.explode("hull").alias("v")).select("city_code", "v.lon_i", "v.lat_i")
     strange = corners.join(points, ["city_code", "lon_i", "lat_i"], "left_anti").select("city_code").distinct()
     convex = coverage.convex_hulls(points).withColumnRenamed("hull", "convex")
     ring = F.array("hull")
-    return hulls.join(convex, "city_code").join(strange.withColumn("bad", F.lit(True)), "city_code", "left").select(
+    rows = hulls.join(convex, "city_code").join(strange.withColumn("bad", F.lit(True)), "city_code", "left").select(
         "city_code", g.is_valid(ring, g.edges(ring), g.area2(ring)).alias("simple"),
         F.col("bad").isNull().alias("corners_are_points"),
         (g.area2(ring) <= g.area2(F.array("convex"))).alias("not_above_convex"))
+    return rows.join(coverage.covered_counts(points, hulls), "city_code")
 
 
-@query("agg_05_coverage_counts", fs.on_buildings("""
-SELECT city_code, count(*) AS building_count, true AS has_hull FROM b WHERE building_part IS NULL GROUP BY 1"""))
+@query("agg_05_coverage_counts", fs.on_shapes("""
+SELECT city_code, count(*) AS building_count, count(cen_lon) AS covered FROM s
+ WHERE building_part IS NULL AND city_code IS NOT NULL GROUP BY 1"""))
 def _(spark, sf):
-    return coverage.coverage(ft.stored_buildings(spark, sf)).select(
-        "city_code", "building_count", F.col("hull").isNotNull().alias("has_hull"))
+    buildings = ft.stored_buildings(spark, sf)
+    table = cut_lineage(coverage.coverage(buildings))
+    covered = coverage.covered_counts(coverage.outline_points(buildings), table)
+    return table.join(covered, "city_code", "left").select(
+        "city_code", "building_count", F.coalesce(F.col("points") - F.col("outside"), F.lit(0)).alias("covered"))
 
 
 @query("snk_05_coverage_geojson", fs.on_buildings("""

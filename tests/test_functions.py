@@ -99,6 +99,16 @@ def test_wkt_round_trip(make):
     assert df.select(g.from_wkt(F.lit("POINT(1 2)"))).first()[0] is None
 
 
+@pytest.mark.parametrize("side", [1000, 3_000_000, 50_000_000, 300_000_000])
+def test_centroid_of_small_and_very_wide_rings(make, side):
+    x, y = 1390000000, 350000000
+    df = one(make, [[(x, y), (x + side, y), (x + side, y + side), (x, y + side)]])
+    m = g.moments(F.col("rings"))
+    r = df.select(m["a"].alias("a"), g.centroid(F.col("rings"), m).alias("c")).first()
+    assert r.a == 2 * side * side
+    assert r.c.lon == pytest.approx(x + side / 2, rel=1e-12) and r.c.lat == pytest.approx(y + side / 2, rel=1e-12)
+
+
 def test_point_on_surface_and_null(make):
     ell = [(0, 0), (10, 0), (10, 2), (2, 2), (2, 10), (0, 10)]
     donut = [[(0, 0), (30, 0), (30, 30), (0, 30)], [(5, 5), (25, 5), (25, 25), (5, 25)]]

@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from meshfold.functions import geometry as g
 from meshfold.operators import bbox, boundary, coverage, dedup, elements, maintenance, runlog
 from meshfold.plans import bbox_query
 from meshfold.registry import fixture_tables as ft
@@ -235,6 +236,51 @@ def test_concave_hull_digs_and_keeps_all_points():
     assert coverage.dig_hull(np.array([(0, 0), (1, 1)]), 0.5).shape == (2, 2)
 
 
+def test_concave_hull_covers_every_point_of_large_cities(spark):
+    # An L and a star with five arms, dense enough for many points in a grid cell.
+    one, two = (F.pmod(F.xxhash64("id", F.lit(salt)), F.lit(1_000_003)) / 1_000_003 for salt in (1, 2))
+    lon, lat = F.round(one * 2_000_000).cast("bigint"), F.round(two * 2_000_000).cast("bigint")
+    ell = spark.range(0, 60000, 1, 4).select(F.lit("13101").alias("city_code"), lon.alias("lon_i"), lat.alias("lat_i"))
+    ell = ell.where((F.col("lon_i") < 600_000) | (F.col("lat_i") < 600_000))
+    angle = F.floor(one * 5) * (2 * 3.141592653589793 / 5) + F.pmod(F.col("id"), F.lit(100)) * (1 - two) / 300
+    star = spark.range(0, 60000, 1, 4).select(
+        F.lit("13102").alias("city_code"), F.round(1e6 * two * F.cos(angle)).cast("bigint").alias("lon_i"),
+        F.round(1e6 * two * F.sin(angle)).cast("bigint").alias("lat_i"))
+    points = ell.union(star).cache()
+    hulls = coverage.concave_hulls(points, 0.3).cache()
+    counts = {r.city_code: r for r in coverage.covered_counts(points, hulls).collect()}
+    assert {c: r.outside for c, r in counts.items()} == {"13101": 0, "13102": 0}
+    ring = F.array("hull")
+    areas = hulls.select("city_code", g.area2(ring).alias("a"), g.is_valid(ring, g.edges(ring), g.area2(ring)).alias("ok")).collect()
+    convex = {r.city_code: r.a for r in coverage.convex_hulls(points).select("city_code", g.area2(F.array("hull")).alias("a")).collect()}
+    for r in areas:
+        assert r.ok and r.a < 0.9 * convex[r.city_code]
+
+
+def test_reduction_gives_out_what_it_holds_and_goes_on(spark):
+    import pyarrow as pa
+
+    batches = [pa.RecordBatch.from_pydict({"city_code": ["a", "b", "a"], "lon_i": [i, 0, 5], "lat_i": [0, i, i]})
+               for i in range(6)]
+    got = [r for b in coverage._corners_per(["city_code"], most=3)(batches) for r in b.to_pylist()]
+    for city, want in (("a", {(0, 0), (5, 0), (5, 5)}), ("b", {(0, 0), (0, 5)})):
+        xy = np.array([(r["lon_i"], r["lat_i"]) for r in got if r["city_code"] == city])
+        assert {tuple(p) for p in coverage.convex_corners(xy).tolist()} == want
+
+
+def test_coverage_of_one_and_two_points(spark, make):
+    import json
+
+    points = make([("1", 10000000, 20000000), ("2", 10000000, 0), ("2", 30000000, 0), ("2", 20000000, 0)],
+                  "city_code string, lon_i bigint, lat_i bigint")
+    table = coverage.concave_hulls(points).withColumn("building_count", F.lit(1).cast("bigint"))
+    table = table.unionByName(make([("3", None, 1)], "city_code string, hull array<struct<lon_i:bigint,lat_i:bigint>>, "
+                                                     "building_count bigint"))
+    found = {r.city_code: json.loads(r.feature)["geometry"] for r in coverage.features(table).collect()}
+    assert found == {"1": {"type": "Point", "coordinates": [1.0, 2.0]},
+                     "2": {"type": "LineString", "coordinates": [[1.0, 0.0], [3.0, 0.0]]}, "3": None}
+
+
 # ---- maintenance ---------------------------------------------------------
 
 def test_cascade_follows_all_levels(make):
