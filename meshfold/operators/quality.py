@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meshfold.functions import geometry as g
+from meshfold.functions import ids
 from meshfold.operators.bbox import box_pairs
+from meshfold.session import cut_lineage
 
 IDENTITY_KEYS = ("name", "name:ja", "addr:street", "addr:housenumber", "amenity", "shop", "tourism",
                  "leisure", "landuse")
@@ -101,9 +103,13 @@ def far_parts(buildings: DataFrame) -> DataFrame:
     pairs = buildings.filter("parent_building_id is not null").join(parents, "parent_building_id")
     apart = ~g.polygons_intersect(g.edges(F.col("rings")), g.edges(F.col("p_rings")))
     distance = g.distance_m(F.col("cen_lon"), F.col("cen_lat"), F.col("p_lon"), F.col("p_lat"))
-    return pairs.filter(apart).agg(
-        F.count("*").alias("parts"), F.percentile(distance, F.lit(0.5)).alias("median_m"),
-        F.max(distance).alias("max_m"))
+    # The median by numbering the sorted distances: no task gathers them all.
+    found = cut_lineage(pairs.filter(apart).select(distance.alias("d")))
+    total = found.agg(F.count("*").alias("parts"), F.count("d").alias("known"), F.max("d").alias("max_m"))
+    numbered = ids.dense_ids(found.filter("d is not null"), ["d"])
+    median = numbered.crossJoin(total).filter("id in ((known + 1) div 2, (known + 2) div 2)").agg(
+        F.avg("d").alias("median_m"))
+    return total.crossJoin(median).select("parts", "median_m", "max_m")
 
 
 def lost_identity_tags(ways: DataFrame, kept: DataFrame, keys=IDENTITY_KEYS) -> DataFrame:

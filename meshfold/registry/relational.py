@@ -142,10 +142,9 @@ def _(spark, sf):
 # ---- joins ---------------------------------------------------------------
 
 @query("join_12_left_join_nodes", BN + """SELECT b.id, count(n.id) AS n_nodes, min(n.id) AS first_node
- FROM b LEFT JOIN n ON n.building_id = b.id WHERE b.building_part = 'yes' GROUP BY 1""")
+ FROM b LEFT JOIN n ON n.building_id = b.id GROUP BY 1""")
 def _(spark, sf):
-    parts = stored(spark, sf).filter("building_part = 'yes'").select("id")
-    rows = statistics.with_nodes(parts, nodes(spark, sf))
+    rows = statistics.with_nodes(stored(spark, sf).select("id"), nodes(spark, sf))
     ids = F.transform("nodes", lambda s: s["id"])
     return rows.select("id", F.coalesce(F.size("nodes"), F.lit(0)).cast("bigint").alias("n_nodes"),
                        F.array_min(ids).alias("first_node"))
