@@ -34,7 +34,16 @@ _PATTERNS = {
     "card": r"(?<![\w-])(?:\d{13,19}|\d{4} \d{4} \d{4} \d{1,7}|\d{4}-\d{4}-\d{4}-\d{1,7}|\d{4}[ -]\d{6}[ -]\d{5})(?![\w-])",
 }
 _VALUE = re.compile("|".join(f"(?P<{kind}>{pattern})" for kind, pattern in _PATTERNS.items()), re.ASCII)
+_ALONE = {kind: re.compile(pattern, re.ASCII) for kind, pattern in _PATTERNS.items()}
 _SIGN = re.compile("[0-9@]")
+_IBAN_HEAD = re.compile(r"(?<!\w)[A-Z]{2}\d{2}", re.ASCII)
+_IBAN_GROUPS = re.compile(r"(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?(?!\w)", re.ASCII)
+#: Characters of an IBAN by country, as ISO 13616 registers them.
+_IBAN_LENGTH = {x[:2]: int(x[2:]) for x in (
+    "AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BI27 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DJ27 DK18 DO28 EE20 EG29 ES24 FI18 "
+    "FK18 FO18 FR27 GB22 GE22 GI23 GL18 GR27 GT28 HN28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20 LB28 LC32 LI21 LT20 "
+    "LU20 LV21 LY25 MC27 MD24 ME22 MK19 MN20 MR27 MT31 MU30 NI28 NL18 NO15 OM23 PK24 PL28 PS29 PT25 QA29 RO24 RS22 RU33 SA24 "
+    "SC31 SD18 SE24 SI19 SK24 SM27 SO23 ST25 SV28 TL23 TN24 TR26 UA29 VA22 VG24 XK20 YE30").split()}
 _SPACE = re.compile(r"\s")
 
 
@@ -213,7 +222,8 @@ _KINDS = {"email": _email, "iban": _iban, "secret": _secret, "ip": _ip, "date":
 
 
 def _regions(text: str):
-    """Runs of words with a digit or an at sign, one white-space character apart."""
+    """Runs of words with a digit or an at sign, one white-space character apart; the groups
+    that may follow the head of an IBAN belong to them, also those of letters only."""
     start = end = 0
     sign = _SIGN.search(text)
     while sign:
@@ -223,6 +233,11 @@ def _regions(text: str):
             left = max(left, text.rfind(space, end, at) + 1)
         gap = _SPACE.search(text, at)
         right = gap.start() if gap else len(text)
+        if gap and right - left >= 4 and _IBAN_HEAD.fullmatch(text, right - 4, right):
+            groups = _IBAN_GROUPS.match(text, right)
+            if groups:
+                gap = _SPACE.search(text, groups.end())
+                right = gap.start() if gap else len(text)
         if left - end > 1 or end == 0:
             if end > start:
                 yield start, end
@@ -233,15 +248,50 @@ def _regions(text: str):
         yield start, end
 
 
+def _iban_end(text: str) -> int:
+    """Where an IBAN ends whose groups may have run on into other words: at its country's length,
+    if a group ends there. Told by country and spaces alone, which stay, so the way back is the same."""
+    left = _IBAN_LENGTH.get(text[:2], 0)
+    for i, x in enumerate(text):
+        left -= x != " "
+        if not left:
+            return i + 1 if text[i + 1:i + 2] in ("", " ") else len(text)
+    return len(text)
+
+
+def _first(text: str, at: int, end: int, cipher: Cipher, back: bool) -> tuple[int, int, str, str] | None:
+    """(start, end, kind, permuted value) of the first valid value from ``at``. Where a match is
+    not valid the other kinds are tried at its place, and then the search goes on inside it."""
+    while match := _VALUE.search(text, at, end):
+        start = match.start()
+        for kind, pattern in _ALONE.items():
+            own = pattern.match(text, start, end)
+            if own:
+                stop = start + _iban_end(own[0]) if kind == "iban" else own.end()
+                new = _KINDS[kind](cipher, text[start:stop], back)
+                if new is not None:
+                    return start, stop, kind, new
+        at = start + 1
+    return None
+
+
 def replace(text: str, cipher: Cipher, back: bool = False) -> tuple[str, int]:
     """The text with its valid values permuted, and how many there were."""
     parts, at, count = [], 0, 0
-    for start, end in _regions(text):
-        for match in _VALUE.finditer(text, start, end):
-            new = _KINDS[match.lastgroup](cipher, match[0], back)
-            if new is not None:
-                parts += (text[at:match.start()], new)
-                at, count = match.end(), count + 1
+    for first, end in _regions(text):
+        while found := _first(text, first, end, cipher, back):
+            start, stop, kind, new = found
+            # Permuted until it is found again in its place: an invalid match around it may have become valid.
+            low = max(first - 1, 0)
+            before, after = text[low:start], text[stop:min(end, stop + 80)]
+            while True:
+                probe = before + new + after
+                again = _first(probe, first - low, len(probe), cipher, back)
+                if again and again[:3] == (start - low, start - low + len(new), kind):
+                    break
+                new = _KINDS[kind](cipher, new, back)
+            parts += (text[at:start], new)
+            at, count, first = stop, count + 1, stop
     return ("".join([*parts, text[at:]]), count) if count else (text, 0)
 
 

@@ -141,6 +141,34 @@ def test_pseudonyms_keep_format_and_validity():
     assert pii.replace("4111111111111111", pii.Cipher(b"other")) != pii.replace("4111111111111111", c)
 
 
+@pytest.mark.parametrize("iban", ["GB82 WEST 1234 5698 7654 32", "NL91 ABNA 0417 1643 00", "IE29 AIBK 9311 5212 3456 78",
+                                  "BE68 5390 0754 7034", "MT84 MALT 0110 0001 2345 MTLC AST0 01S", "NO93 8601 1117 947"])
+@pytest.mark.parametrize("after", ["", " 500 EUR", " EUR 5", " 1234 and", ", or\nnot", " is WORD"])
+def test_spaced_ibans_are_found_whatever_follows(iban, after):
+    c = pii.Cipher(b"key")
+    for before in ("", "Pay to ", "on 3 May to ", "(", "Ä "):
+        text = before + iban + after
+        new, n = pii.replace(text, c)
+        assert n == 1 and new == before + pii._iban(c, iban, False) + after and iban not in new
+        assert pii.replace(new, c, back=True) == (text, 1)
+
+
+def test_search_goes_on_inside_invalid_matches():
+    c = pii.Cipher(b"key")
+    secret = next(x for x in (hashlib.md5(b"%d" % i).hexdigest().upper() for i in range(10_000)) if re.match("[A-F]{2}[0-9]{2}", x))
+    for text, value in ((f"1235 {x}", x) for x in ("4111 1111 1111 1111", "5500 0000 0000 0004")):
+        new, n = pii.replace(text, c)
+        assert n == 1 and value not in new and new.startswith("1235 ")
+    assert pii.replace(secret, c)[1] == 1 and pii.replace(f"XX12 {secret[:4]} 4111 1111 1111 1111", c)[1] == 1
+    rng = random.Random(2)
+    for _ in range(2000):  # the way back reads the same values, whatever stands around them
+        digits = [rng.randrange(10) for _ in range(15)]
+        card = "".join(map(str, [*digits, pii.luhn(digits)]))
+        text = f"{rng.randrange(10_000):04d} " + " ".join(card[i:i + 4] for i in range(0, 16, 4)) + f" {rng.randrange(100)}"
+        new, n = pii.replace(text, c)
+        assert n and pii.replace(new, c, back=True) == (text, n)
+
+
 def test_feistel_is_a_permutation():
     c = pii.Cipher(b"key")
     all_ = [(a, b, d) for a in range(3) for b in range(7) for d in range(5)]
