@@ -11,8 +11,13 @@ depths along its context, each with the share that 1/2 Pe has of Pw; a context i
 as deep as training has met it. Each text starts after ``depth`` bytes 0xFF and ends with one,
 which UTF-8 never uses, so the scores of all texts are one distribution.
 
-Beside it stands a base score by single words. Both models are tables in the shared folder,
-which workers read once.
+The tree is a set of tables with every node. A gram (``depth`` bytes and the next) that only
+texts outside the training have is a node of count 0: its estimate and weight are 1, so it
+changes no other, and its probability is that of the longest context met. So each gram of any
+text gets its score in the tables. Workers hold the scores of the most frequent grams; those
+of the others are joined.
+
+Beside it stands a base score by single words, with the same division into held and joined.
 """
 
 from __future__ import annotations
@@ -77,17 +82,23 @@ def _summed(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def gram_counts(texts: DataFrame, depth: int) -> DataFrame:
-    """(gram, n) over all texts: summed within each task first."""
+    """(gram, n, met) over all texts: summed within each task first. ``met`` counts every text, ``n``
+    those learned from: all, or where a second column says so."""
     def run(batches):
-        keys, values = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        keys, values = np.zeros(0, np.uint64), np.zeros((0, 2), np.int64)
         for batch in batches:
-            for portion in _portions(_texts(batch.column(0))):
-                k, n = np.unique(grams(portion, depth)[0], return_counts=True)
-                keys, values = _summed(np.concatenate([keys, k]), np.concatenate([values, n]))
+            column = _texts(batch.column(0))
+            learn = batch.column(1).to_pylist() if batch.num_columns > 1 else [True] * len(column)
+            for own in (True, False):
+                for portion in _portions([t for t, x in zip(column, learn) if x == own]):
+                    k, n = np.unique(grams(portion, depth)[0], return_counts=True)
+                    keys, values = _summed(np.concatenate([keys, k]), np.concatenate([values, np.stack([n * own, n], 1)]))
         if len(keys):
-            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(values)], ["gram", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(values[:, 0]), pa.array(values[:, 1])],
+                                             ["gram", "n", "met"])
 
-    return texts.mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    return texts.mapInArrow(run, "gram long, n long, met long").groupBy("gram").agg(
+        F.sum("n").alias("n"), F.sum("met").alias("met"))
 
 
 def _log_gamma(x: Column) -> Column:
@@ -125,26 +136,62 @@ def nodes(counts: DataFrame, depth: int) -> list[DataFrame]:
     return levels
 
 
+def mixed(counts: DataFrame, depth: int) -> list[DataFrame]:
+    """For each depth (node, n, q, a, b): n is how often the node was met, q the mixed probability of
+    a 1 where the context ends at the node, and where n is 0 that of the longest context met."""
+    levels = []
+    for d, level in enumerate(nodes(counts, depth)):
+        own = (F.col("n1") + 0.5) / (F.col("n0") + F.col("n1") + 1)
+        if d == 0:
+            level = level.withColumns({"a": F.lit(0.0), "b": F.lit(1.0), "shorter": F.lit(0.5)})
+        else:
+            above = levels[-1].select(F.col("node").alias("parent"), "a", "b", F.col("q").alias("shorter"))
+            level = level.withColumn("parent", F.col("node").bitwiseAND((1 << 8 * d) - 1)).join(above, "parent")
+        n = F.col("n0") + F.col("n1")
+        q = F.when(n > 0, F.col("a") + F.col("b") * own).otherwise(F.col("shorter"))
+        stay = 1 / (1 + F.exp(F.least(F.col("below") - F.col("pe"), F.lit(700.0))))
+        levels.append(store(level.select("node", n.alias("n"), q.alias("q"), (F.col("a") + F.col("b") * stay * own).alias("a"),
+                                         (F.col("b") * (1 - stay)).alias("b")), "mixed"))
+    return levels
+
+
+def gram_scores(leaves: DataFrame) -> DataFrame:
+    """(gram, score): log10 of the probability of each gram's last byte, from (node, q) at full depth."""
+    def paths(node, q):
+        bits, total = node & 255, np.zeros(len(node))
+        for j in range(1, 8):
+            at = np.nonzero(bits >> j == 1)[0]
+            parent = np.searchsorted(node, node[at] >> 8 << 8 | bits[at] >> 1)
+            total[at] = total[parent] + np.log10(np.where(bits[at] & 1, q[parent], 1 - q[parent]))
+        last = bits >> 7 == 1
+        for bit in range(2):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(node[last] >> 8 << 8 | (bits[last] & 127) << 1 | bit),
+                 pa.array(total[last] + np.log10(q[last] if bit else 1 - q[last]))], ["gram", "score"])
+
+    def run(batches):
+        node, q = np.zeros(0, np.int64), np.zeros(0)
+        for batch in batches:
+            node = np.concatenate([node, batch.column(0).to_numpy()])
+            q = np.concatenate([q, batch.column(1).to_numpy()])
+            cut = np.searchsorted(node, node[-1] >> 8 << 8) if len(node) else 0  # the last context may go on
+            yield from paths(node[:cut], q[:cut])
+            node, q = node[cut:], q[cut:]
+        yield from paths(node, q)
+
+    context = F.expr("shiftright(node, 8)")
+    return leaves.select("node", "q").repartition(context).sortWithinPartitions("node").mapInArrow(run, "gram long, score double")
+
+
 def model(counts: DataFrame, depth: int, max_nodes: int) -> DataFrame:
-    """(depth, node, q): the mixed probability of a 1 where the context ends at the node.
+    """(depth, node, q): the tree as one table to hold in memory; ``score`` reads the whole tables instead.
 
     At most ``max_nodes`` nodes: beyond that, contexts met less than some power of two times
     are left to the shorter ones; each still counts there.
     """
     found = None
-    above = None
-    for d, level in enumerate(nodes(counts, depth)):
-        own = (F.col("n1") + 0.5) / (F.col("n0") + F.col("n1") + 1)
-        if above is None:
-            level = level.withColumn("a", F.lit(0.0)).withColumn("b", F.lit(1.0))
-        else:
-            level = level.withColumn("parent", F.col("node").bitwiseAND((1 << 8 * d) - 1)).join(above, "parent")
-        q = F.col("a") + F.col("b") * own
-        stay = 1 / (1 + F.exp(F.least(F.col("below") - F.col("pe"), F.lit(700.0))))
-        level = store(level.select("node", (F.col("n0") + F.col("n1")).alias("n"), q.alias("q"),
-                                   (F.col("a") + F.col("b") * stay * own).alias("a"), (F.col("b") * (1 - stay)).alias("b")), "mixed")
-        above = level.select(F.col("node").alias("parent"), "a", "b")
-        own_rows = level.select(F.lit(d).alias("depth"), "node", "n", "q")
+    for d, level in enumerate(mixed(counts, depth)):
+        own_rows = level.where("n > 0").select(F.lit(d).alias("depth"), "node", "n", "q")
         found = own_rows if found is None else found.unionByName(own_rows)
     least, total = 0, 0
     sizes = found.where("depth > 0").groupBy(F.floor(F.log2("n")).alias("k")).agg(F.count("*").alias("c"))
@@ -160,13 +207,17 @@ class Scorer:
     """The model in memory, with remembered scores of grams in two tables of fixed size."""
 
     def __init__(self, depth_of: np.ndarray, node: np.ndarray, q: np.ndarray, depth: int, slots: int = 21):
-        self.depth, self.slots = depth, slots
+        self.depth = depth
         self.node, self.q = [], []
         for d in range(depth + 1):
             at = depth_of == d
             order = np.argsort(node[at])
             self.node.append(node[at][order])
             self.q.append(q[at][order])
+        self._remember(slots)
+
+    def _remember(self, slots: int):
+        self.slots = slots
         self.keys = np.full((2, 1 << slots), ~np.uint64(0))
         self.values = np.zeros((2, 1 << slots))
 
@@ -215,6 +266,21 @@ class Scorer:
         return result
 
 
+class Known(Scorer):
+    """Given scores of grams, looked up by the remembered tables; NaN for grams without one."""
+
+    def __init__(self, gram: np.ndarray, score: np.ndarray, slots: int = 21):
+        order = np.argsort(gram)
+        self.gram, self.score = gram[order], score[order]
+        self._remember(slots)
+
+    def exact(self, gram: np.ndarray) -> np.ndarray:
+        if not len(self.gram):
+            return np.full(len(gram), np.nan)
+        at = np.minimum(np.searchsorted(self.gram, gram), len(self.gram) - 1)
+        return np.where(self.gram[at] == gram, self.score[at], np.nan)
+
+
 _LOADED: dict[str, object] = {}
 
 
@@ -265,8 +331,16 @@ def word_counts(texts: DataFrame, most: int = 400_000) -> DataFrame:
     return texts.mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def _lists(row: np.ndarray, code: np.ndarray, rows: int, values: pa.Array, name: str) -> pa.ListArray:
+    """For each of ``rows`` rows the list of (its distinct values, how often)."""
+    far, times = np.unique(row << 32 | code, return_counts=True)
+    bounds = np.searchsorted(far >> 32, np.arange(rows + 1)).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(bounds), pa.StructArray.from_arrays(
+        [values.take(pa.array(far & 0xFFFFFFFF)), pa.array(times, pa.int64())], [name, "times"]))
+
+
 def _frequent(words: DataFrame, most: int) -> DataFrame:
-    """The words met at least some power of two times, so that there are at most ``most``."""
+    """The rows met at least some power of two times, so that there are at most ``most``."""
     total, least = 0, 1
     for r in sorted(words.groupBy(F.floor(F.log2("n")).alias("k")).agg(F.count("*").alias("c")).collect(), key=lambda r: -r.k):
         total += r.c
@@ -277,20 +351,24 @@ def _frequent(words: DataFrame, most: int) -> DataFrame:
 
 
 def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", folds: int = 5, held: int = 1, depth: int = 5,
-          max_nodes: int = 1 << 21, frequent_words: int = 1 << 18) -> DataFrame:
+          frequent_grams: int = 1 << 21, frequent_words: int = 1 << 18) -> DataFrame:
     """doc_id, held_out, n_bytes, n_tokens, n_known, train_tokens, base_score, score and bits_per_byte
     of every whole text.
 
     Both models learn from the texts whose fold (crc32 of the id as text, modulo ``folds``) is
     not ``held``. A null text is empty: one end token, one end byte. Repeated rows are scored
     alike; without training texts every bit has probability 1/2; an empty table gives an
-    empty one. Words beyond the ``frequent_words`` most frequent are looked up by a join.
+    empty one. Words beyond the ``frequent_words`` most frequent and grams beyond the
+    ``frequent_grams`` most frequent are looked up by a join: these bounds change no score.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     train = rows.where(fold(F.col("doc_id"), folds) != held).select("text")
-    tree, top = new_folder(spark, "context-tree"), new_folder(spark, "frequent-words")
-    model(store(gram_counts(train, depth), "grams"), depth, max_nodes).write.parquet(tree)
+    near_grams, top = new_folder(spark, "frequent-grams"), new_folder(spark, "frequent-words")
+    counts = store(gram_counts(rows.select("text", (fold(F.col("doc_id"), folds) != held).alias("learn")), depth), "grams")
+    tree = store(counts.join(gram_scores(mixed(counts, depth)[-1]), "gram").select("gram", F.col("met").alias("n"), "score"),
+                 "context-tree")
+    _frequent(tree, frequent_grams).select("gram", "score").write.parquet(near_grams)
     words = store(word_counts(train), "words")
     _frequent(words, frequent_words).write.parquet(top)
     n_train = train.count()
@@ -300,7 +378,7 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", folds: in
     per_token = math.log10(total + 0.5 * (distinct + 1))
 
     def run(batches):
-        scorer = _loaded(tree, lambda t: Scorer(*(t[c].to_numpy() for c in ("depth", "node", "q")), depth))
+        scorer = _loaded(near_grams, lambda t: Known(t["gram"].to_numpy().view(np.uint64), t["score"].to_numpy()))
         names, logs = _loaded(top, lambda t: (t["word"].combine_chunks().cast(pa.large_string()),
                                               np.log10(t["n"].to_numpy() + 0.5)))
         base = TaskContext.get().partitionId() << 33
@@ -309,35 +387,45 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", folds: in
             for at in range(0, len(batch), 1000):
                 part = batch.slice(at, 1000)
                 texts = _texts(part.column(1))
-                values = []
+                values, far_grams, far_rows, done = [], [], [], 0
                 for portion in _portions(texts):
                     gram, first = grams(portion, depth)
-                    values.append(np.add.reduceat(scorer(gram), first))
+                    value = scorer(gram)
+                    far = np.nonzero(np.isnan(value))[0]
+                    value[far] = 0
+                    values.append(np.add.reduceat(value, first))
+                    far_grams.append(gram[far])
+                    far_rows.append(np.searchsorted(first, far, "right") - 1 + done)
+                    done += len(portion)
+                own_grams, gram_code = np.unique(np.concatenate(far_grams), return_inverse=True)
+                rare_grams = _lists(np.concatenate(far_rows), gram_code, len(part), pa.array(own_grams.view(np.int64)), "gram")
                 distinct_words, code, row = _words(part.column(1))
                 place = pc.index_in(distinct_words, value_set=names).fill_null(-1).to_numpy()[code]
                 n = np.bincount(row, minlength=len(part))
                 near = place >= 0
                 known = np.bincount(row[near], minlength=len(part))
                 log = np.bincount(row[near], logs[place[near]] if len(logs) else None, minlength=len(part))
-                far, times = np.unique(row[~near] << 32 | code[~near], return_counts=True)
-                bounds = np.searchsorted(far >> 32, np.arange(len(part) + 1)).astype(np.int32)
-                rare = pa.ListArray.from_arrays(pa.array(bounds), pa.StructArray.from_arrays(
-                    [distinct_words.take(pa.array(far & 0xFFFFFFFF)).cast(pa.string()), pa.array(times, pa.int64())], ["word", "times"]))
+                rare = _lists(row[~near], code[~near], len(part), distinct_words.cast(pa.string()), "word")
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([next(number) for _ in texts]), part.column(0), pa.array([len(t) for t in texts], pa.int64()),
                      pa.array(n.astype(np.int64)), pa.array(known.astype(np.int64)), pa.array(log.astype(float)),
-                     pa.array(np.concatenate(values)), rare],
-                    ["row", "doc_id", "n_bytes", "n_words", "known", "log", "score", "rare"])
+                     pa.array(np.concatenate(values)), rare, rare_grams],
+                    ["row", "doc_id", "n_bytes", "n_words", "known", "log", "near_score", "rare", "rare_grams"])
 
     id_type = dict(rows.dtypes)["doc_id"]
     scored = store(rows.mapInArrow(run, f"row long, doc_id {id_type}, n_bytes long, n_words long, known long, log double, "
-                                        "score double, rare array<struct<word:string,times:long>>"), "scored")
+                                        "near_score double, rare array<struct<word:string,times:long>>, "
+                                        "rare_grams array<struct<gram:long,times:long>>"), "scored")
     rare = scored.select("row", F.inline("rare")).join(words, "word", "left").select(
         "row", F.when(F.col("n") > 0, F.col("times")).otherwise(0).alias("known"),
         (F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + 0.5)).alias("log"))
     rare = store(rare.groupBy("row").agg(F.sum("known").alias("rare_known"), F.sum("log").alias("rare_log")), "rare")
+    far = scored.select("row", F.inline("rare_grams")).join(tree, "gram").groupBy("row").agg(
+        F.sum(F.col("times") * F.col("score")).alias("far_score"))
+    scored = scored.drop("rare", "rare_grams").join(rare, "row", "left").join(store(far, "rare-grams"), "row", "left").withColumn(
+        "score", F.col("near_score") + F.coalesce("far_score", F.lit(0.0)))
     n_tokens = F.col("n_words") + 1
-    return scored.drop("rare").join(rare, "row", "left").select(
+    return scored.select(
         "doc_id", (fold(F.col("doc_id"), folds) == held).alias("held_out"), "n_bytes", n_tokens.alias("n_tokens"),
         (F.col("known") + F.coalesce("rare_known", F.lit(0)) + (1 if n_train else 0)).alias("n_known"),
         F.lit(total).cast("long").alias("train_tokens"),

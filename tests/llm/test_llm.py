@@ -295,6 +295,17 @@ def test_context_tree_against_recursion(make, none):
     assert ctw.score(none).count() == 0
 
 
+@pytest.mark.parametrize("frequent", [1 << 21, 60, 0])
+def test_rare_contexts_count_however_few_grams_are_held(make, frequent):
+    rng = random.Random(4)
+    rows = [(i, "".join(rng.choice("abc é") for _ in range(rng.randint(0, 60)))) for i in range(80)] + [(None, None), (7, "Ω new")]
+    held = [zlib.crc32(("" if i is None else str(i)).encode()) % 5 == 1 for i, _ in rows]
+    score = brute_tree([(t or "").encode() for (_, t), h in zip(rows, held) if not h], 4)
+    got = ctw.score(make(rows, SCHEMA), depth=4, frequent_grams=frequent).collect()
+    assert Counter((r.doc_id, r.n_bytes, r.held_out, round(r.score, 5)) for r in got) == Counter(
+        (i, len((t or "").encode()), h, round(score((t or "").encode()), 5)) for (i, t), h in zip(rows, held))
+
+
 def test_bits_are_probabilities_and_nodes_can_be_bounded(make):
     texts = make([(i, f"some text number {i % 7}") for i in range(30)], SCHEMA).select("text")
     counts = ctw.gram_counts(texts, 2)
