@@ -4,8 +4,8 @@ A document's whole windows become sequences of their own where they stand. What
 each document, always shorter than a window, is dealt by a hash to shards of about
 ``shard_tokens`` ids. Each shard builds a BM25 inverted index over its pieces, with document
 frequencies and mean length counted over all documents. A seed piece opens a sequence; the
-unused pieces that score highest against it fill the window while they fit, and the best
-one that doesn't fit is cut to close it. So only the last sequence of a shard has padding.
+unused pieces that score highest against it, over all its terms, fill the window while they
+fit, and the best one that doesn't fit is cut to close it. So only the last sequence of a shard has padding.
 """
 
 from __future__ import annotations
@@ -47,7 +47,7 @@ class Bm25:
 class Index:
     """Inverted index over the pieces of one shard."""
 
-    def __init__(self, pieces: list[np.ndarray], model: Bm25, query_terms: int):
+    def __init__(self, pieces: list[np.ndarray], model: Bm25, query_terms: int | None = None):
         sizes = np.array([len(p) for p in pieces], np.int64)
         vocabulary = len(model.frequency)
         owner = np.repeat(np.arange(len(pieces)), sizes)
@@ -62,20 +62,21 @@ class Index:
         self.query_terms, self.size = query_terms, len(pieces)
 
     def query(self, piece: int) -> np.ndarray:
-        """The piece's terms of the greatest weight."""
+        """The piece's terms; with ``query_terms`` only so many, of the greatest weight."""
         at = slice(self.bounds[piece], self.bounds[piece + 1])
+        if self.query_terms is None:
+            return self.terms[at]
         best = np.lexsort((self.terms[at], -self.strength[at]))[:self.query_terms]
         return self.terms[at][best]
 
     def scores(self, piece: int) -> np.ndarray:
-        total = np.zeros(self.size)
-        for term in self.query(piece):
-            at = slice(self.postings[term], self.postings[term + 1])
-            total[self.docs[at]] += self.weights[at]
-        return total
+        term = self.query(piece)
+        first, size = self.postings[term], self.postings[term + 1] - self.postings[term]
+        at = np.repeat(first - np.cumsum(size) + size, size) + np.arange(size.sum())  # all their postings
+        return np.bincount(self.docs[at], self.weights[at], self.size)
 
 
-def fill(pieces: list[np.ndarray], window: int, model: Bm25, query_terms: int = 16):
+def fill(pieces: list[np.ndarray], window: int, model: Bm25, query_terms: int | None = None):
     """Sequences of (piece, first id, ids): every id of every piece once, each sequence
     but the last exactly ``window`` long. Ties go to the earlier piece."""
     if not pieces:
@@ -103,7 +104,9 @@ def fill(pieces: list[np.ndarray], window: int, model: Bm25, query_terms: int =
             score = np.where(left > 0, index.scores(seed), -1.0)
             near = np.argpartition(-score, min(64, len(score) - 1))[:64]
             near = near[np.lexsort((near, -score[near]))]
-            for candidates in (near, range(len(pieces))):  # the neighbours, then any unused piece
+            for candidates in (near, None):  # the nearest, then on down the ranking; pieces without a score are last
+                if candidates is None:
+                    candidates = np.argsort(-score, kind="stable")
                 cut = -1
                 for piece in candidates:
                     if 0 < left[piece] <= space:
@@ -148,7 +151,7 @@ def _statistics(rows: DataFrame, vocabulary: int) -> Bm25:
 
 
 def pack(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", window: int = 2048,
-         shard_tokens: int = 1 << 21, query_terms: int = 16) -> DataFrame:
+         shard_tokens: int = 1 << 21, query_terms: int | None = None) -> DataFrame:
     """Pieces of packed sequences: doc_id, start (the document's ids before the piece),
     length, ids (little-endian uint32), doc_tokens, sequence_id, offset in the sequence.
 

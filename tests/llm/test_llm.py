@@ -102,6 +102,19 @@ def test_neighbours_rank_as_bm25_by_hand():
     assert all(sum(c for *_, c in s) == 16 for s in sequences[:-1])
 
 
+def test_windows_follow_the_whole_ranking():
+    rng = np.random.default_rng(8)
+    pieces = [rng.integers(0, 400, 40).astype(np.uint32) for _ in range(120)]
+    frequency = np.bincount(np.concatenate([np.unique(p) for p in pieces]), minlength=400).astype(float)
+    model = packing.Bm25(frequency, 120, 40.0)
+    whole = packing.Index(pieces, model, 400)
+    ranked = [int(p) for p in np.argsort(-whole.scores(0), kind="stable") if p]
+    first = next(packing.fill(pieces, 320, model))  # a seed of about 38 terms and seven neighbours
+    assert [p for p, _, _ in first] == [0, *ranked[:7]]
+    first = next(packing.fill(pieces, 4000, model))  # beyond the nearest 64
+    assert [p for p, _, _ in first] == [0, *ranked[:99]]
+
+
 def test_token_files_come_back_whole(spark, docs, none):
     folder = new_folder(spark, "t")
     tokenfiles.write(docs, folder, tokens.word_bpe_path(), sample_documents=4)
