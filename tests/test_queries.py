@@ -1,5 +1,8 @@
 import random
 import re
+import shutil
+import subprocess
+import sys
 import xml.etree.ElementTree as ET
 from pathlib import Path
 
@@ -330,3 +333,16 @@ def test_every_inventory_id_is_registered():
     missing = {i for i in wanted if not any(q.startswith(i.lower().replace("-", "_")) for q in queries)}
     assert not missing
     assert set(oracles) <= set(queries)
+
+
+def test_queries_load_without_the_training_data_folders(tmp_path):
+    """The library stands alone: also where only the pipeline's file is left behind."""
+    root = Path(__file__).resolve().parents[1]
+    for name in ("__spark_entry__.py", "corpus_pipeline.py"):
+        if (root / name).exists():
+            shutil.copy(root / name, tmp_path)
+    shutil.copytree(root / "meshfold", tmp_path / "meshfold", ignore=lambda _, names: {"llm", "__pycache__"} & set(names))
+    code = "import __spark_entry__ as e; q = e.queries(); assert 'pipeline' not in q and set(e.oracle_sql()) <= set(q); print(len(q))"
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=120)
+    assert done.returncode == 0, done.stderr
+    assert int(done.stdout) >= 199
