@@ -39,6 +39,14 @@ def unused(df: DataFrame, *names: str) -> list[str]:
     return result
 
 
+def instead(df: DataFrame, text: str, *names: str) -> DataFrame:
+    """``df`` without the columns that results called ``names`` will replace, whatever the case."""
+    if text.lower() in {n.lower() for n in names}:
+        raise ValueError(f"a result cannot be called like the text column {text!r}")
+    gone = {n.lower() for n in names}
+    return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in gone])
+
+
 def fold(doc_id: Column, parts: int) -> Column:
     """crc32 of the id written as text, modulo ``parts``; a null id counts as the text ''."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % parts

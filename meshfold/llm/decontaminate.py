@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meshfold.llm.common import lower_ascii, store, unused
+from meshfold.llm.common import instead, lower_ascii, store, unused
 
 # What stands between words after A-Z are lower-cased, and before; a word before.
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -84,8 +84,9 @@ def mark(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: st
 
     Null and empty texts have no words; items without a word have no window; items that
     share a window all count; repeated rows get the same answer; an empty table of items
-    leaves all documents clean.
+    leaves all documents clean. A column of ``docs`` called like a result gives way to it.
     """
+    docs = instead(docs, text, *names)
     windows = store(item_windows(benchmark, item_id, item_text, window), "benchmark-windows")
     lengths = [r.length for r in windows.select("length").distinct().collect()]  # at most ``window`` numbers
     ident, key, found = unused(docs, "ident", "key", "found")

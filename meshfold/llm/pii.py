@@ -17,28 +17,29 @@ from math import prod
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from meshfold.llm.common import unused
+from meshfold.llm.common import instead, unused
 
 ROUNDS = 10
 _FIRST_DAY, _DAYS = date(1900, 1, 1), (date(2100, 1, 1) - date(1900, 1, 1)).days
 
 _PATTERNS = {
     "email": r"(?<![\w.%+-])[\w.%+-]++@(?:[A-Za-z0-9-]++\.)++[A-Za-z]{2,}",
-    "iban": r"(?<!\w)[A-Z]{2}\d{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)(?!\w)",
+    "iban": r"(?<!\w)[A-Z]{2}\d{2}(?:[A-Z0-9]{11,30}|(?:[ \xa0-][A-Z0-9]{4}){2,7}(?:[ \xa0-][A-Z0-9]{1,3})?)(?!\w)",
     "secret": r"(?<!\w)(?:[0-9a-fA-F]{64}|[0-9a-fA-F]{40}|[0-9a-fA-F]{32})(?!\w)",
     "ip": r"(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?!\w|\.\d)",
-    "date": r"(?<![\w./-])(?:\d{4}-\d\d-\d\d|\d\d/\d\d/\d{4}|\d\d\.\d\d\.\d{4})(?![\w/-]|\.\d)",
+    "date": r"(?<![\w./-])(?:\d{4}-\d\d-\d\d(?=T\d\d:)|(?:\d{4}-\d\d-\d\d|\d\d/\d\d/\d{4}|\d\d\.\d\d\.\d{4})(?![\w/-]|\.\d))",
     "ssn": r"(?<![\w-])\d{3}-\d\d-\d{4}(?![\w-])",
-    "phone": r"(?<![\w+])(?:\+\d{1,3}[ .-]?(?:\(\d{2,4}\)|\d{2,4})[ .-]?\d{2,4}[ .-]?\d{2,4}|\(\d{3}\) ?\d{3}[ .-]\d{4}"
+    "phone": r"(?<![\w+])(?:\+\d{1,3}[ \xa0.-]?(?:\(\d{2,4}\)|\d{2,4})[ \xa0.-]?\d{2,4}[ \xa0.-]?\d{2,4}|\(\d{3}\)[ \xa0]?\d{3}[ \xa0.-]\d{4}"
              r"|\d{3}-\d{3}-\d{4}|\d{3}\.\d{3}\.\d{4})(?!\w)",
-    "card": r"(?<![\w-])(?:\d{13,19}|\d{4} \d{4} \d{4} \d{1,7}|\d{4}-\d{4}-\d{4}-\d{1,7}|\d{4}[ -]\d{6}[ -]\d{5})(?![\w-])",
+    "card": r"(?<![\w-])(?:\d{13,19}|(?:\d{4}[ \xa0]){3}\d{1,7}|(?:\d{4}-){3}\d{1,7}|\d{4}[ \xa0-]\d{6}[ \xa0-]\d{5})(?![\w-])",
 }
 _VALUE = re.compile("|".join(f"(?P<{kind}>{pattern})" for kind, pattern in _PATTERNS.items()), re.ASCII)
 _ALONE = {kind: re.compile(pattern, re.ASCII) for kind, pattern in _PATTERNS.items()}
 _SIGN = re.compile("[0-9@]")
 _IBAN_HEAD = re.compile(r"(?<!\w)[A-Z]{2}\d{2}", re.ASCII)
-_IBAN_GROUPS = re.compile(r"(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?(?!\w)", re.ASCII)
-#: Characters of an IBAN by country, as ISO 13616 registers them.
+_IBAN_GROUPS = re.compile(r"(?:[ \xa0-][A-Z0-9]{4}){2,7}(?:[ \xa0-][A-Z0-9]{1,3})?(?!\w)", re.ASCII)
+_IBAN_GAPS = " \xa0-"
+#: Characters of an IBAN by country, as ISO 13616 registers them.
 _IBAN_LENGTH = {x[:2]: int(x[2:]) for x in (
     "AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BI27 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DJ27 DK18 DO28 EE20 EG29 ES24 FI18 "
     "FK18 FO18 FR27 GB22 GE22 GI23 GL18 GR27 GT28 HN28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20 LB28 LC32 LI21 LT20 "
@@ -127,16 +128,16 @@ def _card(c: Cipher, text: str, back: bool) -> str | None:
 
 
 def _iban(c: Cipher, text: str, back: bool) -> str | None:
-    bare = text.replace(" ", "")
+    bare = "".join(x for x in text if x not in _IBAN_GAPS)
     number = lambda s: int("".join(str(int(x, 36)) for x in s))
-    if not 15 <= len(bare) <= 34 or number(bare[4:] + bare[:4]) % 97 != 1:
-        return None
+    if not 15 <= len(bare) <= 34 or number(bare[4:] + bare[:4]) % 97 != 1 or not 2 <= int(bare[2:4]) <= 98:
+        return None  # 00, 01 and 99 also leave 1, but no number is given them
     own = bare[4:]
     radices = [10 if x.isdigit() else 26 for x in own]
     values = [int(x) if x.isdigit() else ord(x) - 65 for x in own]
     new = "".join(str(v) if r == 10 else chr(65 + v) for v, r in zip(c.permute("iban", values, radices, back), radices))
     check = 98 - number(new + bare[:2] + "00") % 97
-    places = [i for i, x in enumerate(text) if x != " "]
+    places = [i for i, x in enumerate(text) if x not in _IBAN_GAPS]
     return _put(text, list(f"{bare[:2]}{check:02d}{new}"), places)
 
 
@@ -189,7 +190,7 @@ def _ssn(c: Cipher, text: str, back: bool) -> str | None:
 
 
 def _phone(c: Cipher, text: str, back: bool) -> str | None:
-    country = re.match(r"\+\d{1,3}(?=[ .(-])|\+\d", text)
+    country = re.match(r"\+\d{1,3}(?=[ \xa0.(-])|\+\d", text)
     places, digits = _digits(text, country.end() if country else 0)
     if not 7 <= len(digits) <= 14:
         return None
@@ -203,7 +204,11 @@ _HEX = "0123456789abcdef"
 def _secret(c: Cipher, text: str, back: bool) -> str | None:
     if text != text.lower() and text != text.upper() or text.isdigit() or text.isalpha():
         return None
-    new = "".join(_HEX[d] for d in c.permute("secret", [int(x, 16) for x in text], [16] * len(text), back))
+    new = text.lower()
+    while True:  # on until the image is no number and no word either; the way back takes the same steps
+        new = "".join(_HEX[d] for d in c.permute("secret", [int(x, 16) for x in new], [16] * len(new), back))
+        if not (new.isdigit() or new.isalpha()):
+            break
     return new if text == text.lower() else new.upper()
 
 
@@ -253,9 +258,9 @@ def _iban_end(text: str) -> int:
     if a group ends there. Told by country and spaces alone, which stay, so the way back is the same."""
     left = _IBAN_LENGTH.get(text[:2], 0)
     for i, x in enumerate(text):
-        left -= x != " "
+        left -= x not in _IBAN_GAPS
         if not left:
-            return i + 1 if text[i + 1:i + 2] in ("", " ") else len(text)
+            return i + 1 if text[i + 1:i + 2] in ("", *_IBAN_GAPS) else len(text)
     return len(text)
 
 
@@ -299,8 +304,10 @@ def pseudonymise(docs: DataFrame, key: bytes, text: str = "text", count: str | N
     """``docs`` with the valid values of every whole text replaced, and, where ``count`` names a
     column, how many there were. Lengths stay but for the octets of addresses. Null stays null,
     empty stays empty; repeated rows get equal texts; an empty table gives an empty one.
-    ``n_chars``, where there is one, counts the characters of the new text."""
+    ``n_chars``, where there is one, counts the characters of the new text. A column of ``docs``
+    called like ``count`` gives way to it."""
     cipher = Cipher(key)
+    docs = instead(docs, text, *([count] if count else []))
     place = docs.columns.index(text)
     chars = docs.columns.index("n_chars") if "n_chars" in docs.columns else None
     name = count or unused(docs, "found")[0]

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meshfold.llm.common import fold, unused
+from meshfold.llm.common import fold, instead, unused
 
 HASHED = 256
 SHAPES = 10
@@ -110,7 +110,10 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
 
 
 def score(docs: DataFrame, weights: np.ndarray, text: str = "text", name: str = "score") -> DataFrame:
-    """All columns of ``docs`` and the probability of quality of each whole text; null counts as empty."""
+    """All columns of ``docs`` and the probability of quality of each whole text, a function of
+    the text alone, so repeated rows get equal scores; null counts as empty. A column of ``docs``
+    called ``name`` gives way to it."""
+    docs = instead(docs, text, name)
     place = docs.columns.index(text)
 
     def run(batches):
