@@ -5,7 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from meshfold.llm import ctw, decontaminate, importance, packing, pii, quality, simhash, tokenfiles, tokens, urlfilter, warc
+from meshfold.llm import (ctw, decontaminate, importance, packing, pii, quality, runs, simhash, tokenfiles, tokens,
+                          urlfilter, warc)
 from meshfold.llm.common import fold, table
 from meshfold.llm.registry import query
 from meshfold.session import new_folder
@@ -147,3 +148,31 @@ def warc_normaliser(spark, sf_dir):
 @query("op4_context_tree_weighting")
 def context_tree_weighting(spark, sf_dir):
     return ctw.score(table(spark, sf_dir, "documents"))
+
+
+def with_planted_runs(docs):
+    """Texts in which, where the crc32 h of the id ends in 0, the words from a = g % n on (g = h // 10) repeat the
+    first p = 1 + (n - a) // (3 + g % 8) of them to the end."""
+    h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    words = F.array_remove(F.split("text", r"[\x20\x09-\x0D]+"), "")
+    cut = docs.select("doc_id", "text", (h % 10 == 0).alias("planted"), F.floor(h / 10).alias("g"),
+                      F.when(h % 10 == 0, words).alias("words"))
+    cut = cut.withColumn("n", F.size("words")).withColumn("a", F.expr("int(if(n > 0, g % n, 0))"))
+    cut = cut.withColumn("p", F.expr("int(1 + (n - a) div (3 + g % 8))"))
+    repeated = F.expr("array_join(concat(slice(words, 1, a), slice(flatten(array_repeat(slice(words, a + 1, p), "
+                      "int(ceil((n - a) / p)))), 1, n - a)), ' ')")
+    return cut.select("doc_id", F.when(F.col("planted") & (F.col("n") > 0), repeated).otherwise(F.col("text")).alias("text"))
+
+
+@query("op13_periodic_runs")
+def periodic_runs(spark, sf_dir):
+    marked = runs.mark(with_planted_runs(table(spark, sf_dir, "documents")), names=("n", "runs", "collapsed"))
+    # The first of the greatest length / period: the runs are in order, so a later one has to be greater.
+    best = F.expr("aggregate(runs, cast(null as struct<start:bigint,length:bigint,period:bigint>), (best, r) -> "
+                  "if(best is null or r.length * best.period > best.length * r.period, r, best))")
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    return marked.select("doc_id", F.size("runs").cast("long").alias("n_runs"), best.alias("best"),
+                         F.sha2(F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), ""), 256).alias("runs_sha256"),
+                         F.sha2("collapsed", 256).alias("collapsed_sha256")).select(
+        "doc_id", "n_runs", "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
