@@ -5,8 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from meshfold.llm import (ctw, decontaminate, importance, packing, pii, quality, runs, simhash, tokenfiles, tokens,
-                          urlfilter, warc)
+from meshfold.llm import (binpacking, ctw, decontaminate, importance, packing, pii, quality, runs, simhash, tokenfiles,
+                          tokens, urlfilter, warc)
 from meshfold.llm.common import fold, table
 from meshfold.llm.registry import query
 from meshfold.session import new_folder
@@ -176,3 +176,9 @@ def periodic_runs(spark, sf_dir):
                          F.sha2("collapsed", 256).alias("collapsed_sha256")).select(
         "doc_id", "n_runs", "best.start", "best.length", "best.period",
         F.expr("1000 * best.length div best.period").alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
+
+
+@query("op11_hierarchical_best_fit")
+def hierarchical_best_fit(spark, sf_dir):
+    pieces = binpacking.pack(table(spark, sf_dir, "documents"), tokens.word_bpe_path())
+    return pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
