@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from meshfold.llm import (binpacking, ctw, decontaminate, importance, packing, pii, quality, runs, simhash, tokenfiles,
-                          tokens, urlfilter, warc)
-from meshfold.llm.common import fold, table
+                          tokens, urlfilter, warc, whitening)
+from meshfold.llm.common import fold, store, table
 from meshfold.llm.registry import query
 from meshfold.session import new_folder
 
@@ -182,3 +182,15 @@ def periodic_runs(spark, sf_dir):
 def hierarchical_best_fit(spark, sf_dir):
     pieces = binpacking.pack(table(spark, sf_dir, "documents"), tokens.word_bpe_path())
     return pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+
+
+@query("op12_block_matrix_whitening")
+def block_matrix_whitening(spark, sf_dir):
+    rows, model = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    found = 0 if model is None else len(model.values)
+    rows = store(rows, "whitened")
+    error = whitening.identity_error(rows, found) if found else 0.0
+    shares = F.array(*[F.lit(float(v)) for v in model.explained]) if found else F.array().cast("array<double>")
+    return rows.select("vec_id", "deviation", F.posexplode("whitened").alias("place", "whitened")).select(
+        "vec_id", (F.col("place") + 1).cast("int").alias("component"), F.lit(model.n if model else 0).cast("long").alias("n"),
+        "deviation", "whitened", F.get(shares, F.col("place")).alias("explained"), F.lit(error).alias("identity_error"))
