@@ -195,6 +195,16 @@ def _orient(ax, ay, bx, by, px, py) -> Column:
     return (bx - ax) * (py - ay) - (by - ay) * (px - ax)
 
 
+def edge_crossing(x: Column, y: Column) -> tuple[Column, Column]:
+    """(crossed, on) of a rightward ray from (x, y) and the edge in the columns x1, y1, x2, y2."""
+    x1, y1, x2, y2 = (F.col(c) for c in ("x1", "y1", "x2", "y2"))
+    o = _orient(x1, y1, x2, y2, x, y)
+    up = (y1 <= y) & (y2 > y) & (o > 0)
+    down = (y2 <= y) & (y1 > y) & (o < 0)
+    on = (o == 0) & x.between(F.least(x1, x2), F.greatest(x1, x2)) & y.between(F.least(y1, y2), F.greatest(y1, y2))
+    return up | down, on
+
+
 def _crossings(edge_list: Column, x: Column, y: Column) -> Column:
     """(parity, on) of a rightward ray from (x, y) over the edges."""
     start = F.struct(F.lit(False).alias("odd"), F.lit(False).alias("on"))

@@ -1,4 +1,4 @@
-"""Bounding-box requests over stored buildings as a grid equi-join."""
+"""Bounding-box requests over stored buildings."""
 
 from __future__ import annotations
 
@@ -6,19 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meshfold.functions import geometry as g
+from meshfold.operators import cover
+from meshfold.operators.cover import BASE_CELL, LEVELS, cell_size, level_for
 
-BASE_CELL = 25_000  # finest cell, 0.0025 degree
-LEVELS = 15         # each level is twice as wide; the top one exceeds 40 degrees
-
-
-def _level_for(extent: Column, cells: int) -> Column:
-    """Finest level where ``cells`` cells are at least as wide as the extent."""
-    level = F.ceil(F.log2(F.greatest(extent, F.lit(1)) / F.lit(float(BASE_CELL * cells))))
-    return F.least(F.greatest(level, F.lit(0)), F.lit(LEVELS - 1)).cast("int")
-
-
-def _cell_size(level: Column) -> Column:
-    return (F.lit(BASE_CELL) * F.pow(F.lit(2), level)).cast("bigint")
+WIDE = 10_000_000   # requests beyond 1 degree take the quadtree
 
 
 def _cells(west, south, east, north, size) -> Column:
@@ -38,24 +29,24 @@ def used_levels(df: DataFrame, level: str) -> list[int]:
     return sorted(r[0] for r in df.select(level).distinct().collect() if r[0] is not None)
 
 
-def box_pairs(requests: DataFrame, boxes: DataFrame, spread: int = 8) -> DataFrame:
-    """All (request, box) pairs whose boxes overlap, touching included.
+def grid_pairs(requests: DataFrame, boxes: DataFrame, spread: int = 8) -> DataFrame:
+    """Pairs of overlapping boxes by equal cells of a grid.
 
-    ``boxes`` has id and min/max_lon/lat. Each side is sized to a level: a request to
+    Each side is sized to a level: a request to
     one where it spans about four cells, so that little outside of it is met, a box
     to one where it spans one. A pair of levels joins at the coarser of the two, so
     neither a huge request nor a huge building multiplies. A pair found in
     several cells is kept only in the cell of its overlap's lower-left corner,
     which needs no shuffle. ``spread`` splits a crowded cell over many tasks.
     """
-    r = requests.withColumn("_rl", _level_for(F.greatest(
+    r = requests.withColumn("_rl", level_for(F.greatest(
         F.col("east") - F.col("west"), F.col("north") - F.col("south")), 4))
-    b = boxes.filter(F.col("min_lon").isNotNull()).withColumn("_bl", _level_for(F.greatest(
+    b = boxes.filter(F.col("min_lon").isNotNull()).withColumn("_bl", level_for(F.greatest(
         F.col("max_lon") - F.col("min_lon"), F.col("max_lat") - F.col("min_lat")), 1))
     r_levels, b_levels = used_levels(r, "_rl"), used_levels(b, "_bl")
     if not r_levels or not b_levels:
         r_levels, b_levels = r_levels or [0], b_levels or [0]
-    size = _cell_size(F.greatest("_rl", "_bl"))
+    size = cell_size(F.greatest("_rl", "_bl"))
     r_cells = (
         r.select("*", _pairs("_bl", b_levels)).withColumn("_size", size)
         .withColumn("_cell", F.explode(_cells(F.col("west"), F.col("south"), F.col("east"),
@@ -79,27 +70,49 @@ def box_pairs(requests: DataFrame, boxes: DataFrame, spread: int = 8) -> DataFra
     )
 
 
+def box_pairs(requests: DataFrame, boxes: DataFrame, within: str | None = None, wide: int = WIDE) -> DataFrame:
+    """All (request, box) pairs whose boxes overlap, touching included, with the columns of both.
+
+    ``requests`` has request_id, west, south, east, north; ``boxes`` has id and min/max_lon/lat. With ``within`` a
+    boolean column of that name tells pairs of which the box lies strictly inside of the request. Requests up to
+    ``wide`` meet boxes in cells of a grid; of wider ones, which would hold most rows in a few cells, the
+    rows are dealt by a quadtree that is split by counted rows.
+    """
+    inner = ((F.col("min_lon") > F.col("west")) & (F.col("max_lon") < F.col("east"))
+             & (F.col("min_lat") > F.col("south")) & (F.col("max_lat") < F.col("north")))
+    extent = F.greatest(F.col("east") - F.col("west"), F.col("north") - F.col("south"))
+    columns = [*requests.columns, *boxes.columns, *([within] if within else [])]
+    pairs = grid_pairs(requests.filter(extent <= wide), boxes)
+    pairs = (pairs.withColumn(within, inner) if within else pairs).select(*columns)
+    large = requests.filter(extent > wide)
+    return pairs if large.isEmpty() else pairs.unionByName(cover.box_pairs(large, boxes, within=within).select(*columns))
+
+
 def candidates(requests: DataFrame, buildings: DataFrame, mode: str = "intersects",
-               spread: int = 8) -> DataFrame:
-    """(request, building) pairs by polygon intersection or by contained centroid."""
+               shapes: DataFrame | None = None) -> DataFrame:
+    """(request, building) pairs by polygon intersection or by contained centroid.
+
+    Only ``shapes(id, rings)``, by default those of ``buildings``, are looked up for pairs on the rim of a
+    request; all other pairs are told by boxes, without their rings.
+    """
+    shapes = buildings.select("id", "rings") if shapes is None else shapes.select("id", "rings")
+    narrow = buildings.drop("rings")
     if mode == "centroid":
         # A point is a box of no extent; the stored box columns come back afterwards.
         kept = ["min_lon", "min_lat", "max_lon", "max_lat"]
-        points = buildings.withColumns({f"_{c}": F.col(c) for c in kept}).withColumns({
+        points = narrow.withColumns({f"_{c}": F.col(c) for c in kept}).withColumns({
             "min_lon": F.floor("cen_lon"), "max_lon": F.ceil("cen_lon"),
             "min_lat": F.floor("cen_lat"), "max_lat": F.ceil("cen_lat")})
-        pairs = box_pairs(requests, points, spread)
+        pairs = box_pairs(requests, points)
         return pairs.filter(g.box_contains_point(
             F.col("west"), F.col("south"), F.col("east"), F.col("north"),
             F.col("cen_lon"), F.col("cen_lat"))).withColumns(
             {c: F.col(f"_{c}") for c in kept}).drop(*[f"_{c}" for c in kept])
-    pairs = box_pairs(requests, buildings, spread)
-    box_inside = ((F.col("min_lon") >= F.col("west")) & (F.col("max_lon") <= F.col("east"))
-                  & (F.col("min_lat") >= F.col("south")) & (F.col("max_lat") <= F.col("north")))
-    # Only pairs on the rim of a request look at the edges; CASE, unlike OR, keeps
-    # the edge list from being built for all the others.
-    return pairs.filter(F.when(box_inside, True).otherwise(g.box_intersects(
-        g.edges(F.col("rings")), F.col("west"), F.col("south"), F.col("east"), F.col("north"))))
+    pairs = box_pairs(requests, narrow, within="_inside")
+    rim = pairs.filter(~F.col("_inside")).join(
+        shapes.select("id", g.edges(F.col("rings")).alias("_edges")), "id").filter(g.box_intersects(
+            F.col("_edges"), F.col("west"), F.col("south"), F.col("east"), F.col("north")))
+    return pairs.filter("_inside").drop("_inside").unionByName(rim.drop("_inside", "_edges"))
 
 
 def read_bbox(requests: DataFrame, text: str = "bbox") -> DataFrame:

@@ -221,11 +221,12 @@ def concave_hulls(points: DataFrame, ratio: float = fv.CONCAVE_RATIO, cells: int
 
 def covered_counts(points: DataFrame, hulls: DataFrame) -> DataFrame:
     """(city_code, points, outside): how many points their city's hull does not cover."""
-    bands = boundary.boundary_bands(hulls.select("city_code", F.array(F.array("hull")).alias("boundary")))
-    placed = points.withColumn("band", F.floor(F.col("lat_i") / boundary.BAND))
-    covered = F.coalesce(g.covers_point(F.col("edges"), F.col("lon_i"), F.col("lat_i")), F.lit(False))
-    return placed.join(bands, ["city_code", "band"], "left").groupBy("city_code").agg(
-        F.count("*").alias("points"), F.count(F.when(~covered, 1)).alias("outside"))
+    polygons = hulls.select("city_code", F.array(F.array("hull")).alias("boundary"))
+    places = points.groupBy("city_code", "lon_i", "lat_i").agg(F.count("*").alias("n"))
+    keys = ["city_code", "lon_i", "lat_i", "n"]
+    met = boundary.crossings(places, keys, "lon_i", "lat_i", polygons)
+    return met.groupBy("city_code").agg(F.sum("n").alias("points"), F.coalesce(
+        F.sum(F.when(~(F.col("odd") | F.col("on")), F.col("n"))), F.lit(0)).alias("outside"))
 
 
 def coverage(buildings: DataFrame, ratio: float = fv.CONCAVE_RATIO) -> DataFrame:

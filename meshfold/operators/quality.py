@@ -30,15 +30,19 @@ def nested_buildings(buildings: DataFrame) -> DataFrame:
         F.col("id").alias("request_id"), F.col("city_code").alias("outer_city"),
         F.col("min_lon").alias("west"), F.col("min_lat").alias("south"),
         F.col("max_lon").alias("east"), F.col("max_lat").alias("north"),
-        F.col("area2").alias("outer_area2"), F.col("rings").alias("outer_rings"))
-    inner = buildings.select("id", "city_code", "min_lon", "min_lat", "max_lon", "max_lat", "area2", "rings")
+        F.col("area2").alias("outer_area2"))
+    inner = buildings.select("id", "city_code", "min_lon", "min_lat", "max_lon", "max_lat", "area2")
     pairs = box_pairs(outer, inner).filter(
         (F.col("request_id") != F.col("id")) & (F.col("outer_city") == F.col("city_code"))
         & (F.col("area2") < F.col("outer_area2"))
         & (F.col("min_lon") >= F.col("west")) & (F.col("max_lon") <= F.col("east"))
-        & (F.col("min_lat") >= F.col("south")) & (F.col("max_lat") <= F.col("north")))
-    covered = g.polygon_covers(g.edges(F.col("outer_rings")), F.col("rings"), g.edges(F.col("rings")))
-    return pairs.filter(covered).select(F.col("id").alias("inner_id"), F.col("request_id").alias("outer_id"))
+        & (F.col("min_lat") >= F.col("south")) & (F.col("max_lat") <= F.col("north"))).select(
+        F.col("id").alias("inner_id"), F.col("request_id").alias("outer_id"))
+    # Shapes come to the pairs whose boxes are nested only.
+    shape = lambda end: buildings.select(F.col("id").alias(f"{end}_id"), F.col("rings").alias(f"{end}_rings"))
+    pairs = pairs.join(shape("inner"), "inner_id").join(shape("outer"), "outer_id")
+    covered = g.polygon_covers(g.edges(F.col("outer_rings")), F.col("inner_rings"), g.edges(F.col("inner_rings")))
+    return pairs.filter(covered).select("inner_id", "outer_id")
 
 
 def rings_by_number(nodes: DataFrame) -> DataFrame:

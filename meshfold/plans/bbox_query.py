@@ -21,7 +21,7 @@ ATTRIBUTES = [
     "addr_street", "start_date", "building_material", "roof_material", "roof_shape", "amenity",
     "shop", "tourism", "leisure", "landuse", "building_part", "parent_building_id"]
 
-BOX = ["min_lon", "min_lat", "max_lon", "max_lat", "cen_lon", "cen_lat", "rings"]
+BOX = ["min_lon", "min_lat", "max_lon", "max_lat", "cen_lon", "cen_lat"]
 
 
 def flagged(buildings: DataFrame, master: DataFrame | None) -> DataFrame:
@@ -34,11 +34,13 @@ def prepared(buildings: DataFrame, master: DataFrame | None) -> DataFrame:
     ``rank`` numbers them by position key, then boundary flag, city and id; ``place``
     is the first rank of the same position key. So within a request the copies of a
     building share ``place``, the one to keep has the least ``rank``, and the limit
-    counts in order of ``place``.
+    counts in order of ``place``. Shapes stay behind: only boxes and keys are ranked.
     """
     standing = F.col("building_part").isNull() | (
         (F.col("building_part") == "yes") & F.col("parent_building_id").isNull())
-    rows = boundary.keep_own_city(flagged(buildings.filter(standing), master)).filter("cen_lon is not null")
+    narrow = buildings.filter(standing).select(
+        "id", "city_code", "building_part", "height", "building_levels", *BOX)
+    rows = boundary.keep_own_city(flagged(narrow, master)).filter("cen_lon is not null")
     keyed = dedup.position_key(rows).select(
         "id", "city_code", "building_part", *BOX, *dedup.POSITION_KEY,
         F.when(F.col("inside"), 0).otherwise(1).alias("sort_flag"))
@@ -47,9 +49,9 @@ def prepared(buildings: DataFrame, master: DataFrame | None) -> DataFrame:
     return numbered.join(first, dedup.POSITION_KEY).select("id", "building_part", "rank", "place", *BOX)
 
 
-def outline_candidates(requests, ready, mode="intersects") -> DataFrame:
-    """(request_id, row_limit, id, rank, place) of outlines; ``ready`` = prepared()."""
-    pairs = candidates(requests, ready.filter(F.col("building_part").isNull()), mode)
+def outline_candidates(requests, ready, shapes, mode="intersects") -> DataFrame:
+    """(request_id, row_limit, id, rank, place) of outlines; ``ready`` = prepared(), ``shapes`` has id and rings."""
+    pairs = candidates(requests, ready.filter(F.col("building_part").isNull()), mode, shapes)
     return pairs.select("request_id", "row_limit", "id", "rank", "place")
 
 
@@ -62,33 +64,38 @@ def _ids(kept: DataFrame, ready: DataFrame) -> DataFrame:
     return kept.join(ready.select("rank", "id"), "rank").select("request_id", "id")
 
 
-def outlines(requests, ready, mode="intersects") -> DataFrame:
+def outlines(requests, ready, shapes, mode="intersects") -> DataFrame:
     """(request_id, id) of deduplicated outlines, cut to each request's limit."""
-    kept = first_copies(outline_candidates(requests, ready, mode))
+    kept = first_copies(outline_candidates(requests, ready, shapes, mode))
     cut = dedup.limit_per_group(kept, ["request_id"], [F.col("place")], "row_limit", ["rank"])
     return _ids(cut, ready)
 
 
-def orphan_parts(requests, ready, mode="intersects") -> DataFrame:
+def orphan_parts(requests, ready, shapes, mode="intersects") -> DataFrame:
     """(request_id, id) of parts without a parent; they are not limited."""
-    pairs = candidates(requests, ready.filter(F.col("building_part").isNotNull()), mode)
+    pairs = candidates(requests, ready.filter(F.col("building_part").isNotNull()), mode, shapes)
     return _ids(first_copies(pairs), ready)
 
 
-def part_links(buildings: DataFrame) -> DataFrame:
-    """(id, parent_building_id, intersects_parent) of every part with a parent."""
+def part_links(buildings: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
+    """(id, parent_building_id, intersects_parent) of every part with a parent; with ``wanted(id)`` of the
+    parts of those only, and neither other parts nor other parents are looked at."""
     parents = buildings.select(F.col("id").alias("parent_building_id"), F.col("rings").alias("_parent"))
     parts = buildings.filter(F.col("parent_building_id").isNotNull()).select(
         "id", "parent_building_id", "rings")
+    if wanted is not None:
+        few = wanted.select(F.col("id").alias("parent_building_id")).distinct()
+        parents, parts = (rows.join(few, "parent_building_id", "left_semi") for rows in (parents, parts))
     return parts.join(parents, "parent_building_id").select(
         "id", "parent_building_id", g.polygons_intersect(
             g.edges(F.col("rings")), g.edges(F.col("_parent"))).alias("intersects_parent"))
 
 
 def related_parts(chosen: DataFrame, buildings: DataFrame) -> DataFrame:
-    """All parts of the chosen outlines, in or out of the box, with the parent test."""
+    """All parts of the chosen outlines, in or out of the box, with the parent test. A part is
+    tested once, however many requests chose its parent."""
     parents = chosen.select("request_id", F.col("id").alias("parent_building_id"))
-    return part_links(buildings).join(parents, "parent_building_id").select(
+    return part_links(buildings, chosen).join(parents, "parent_building_id").select(
         "request_id", "id", "intersects_parent")
 
 
@@ -99,14 +106,16 @@ def run(requests: DataFrame, buildings: DataFrame, master: DataFrame | None,
     One row per (request, building), in the order of request and ``osm_id``: attributes,
     ``intersects_parent`` and the interior point.
     """
-    ready = cut_lineage(prepared(buildings, master))
-    chosen = cut_lineage(outlines(requests, ready, mode))
+    ready = cut_lineage(prepared(buildings, master))  # boxes and keys only
+    chosen = cut_lineage(outlines(requests, ready, buildings, mode))
     unknown = F.lit(None).cast("boolean").alias("intersects_parent")
     rows = (
         chosen.select("request_id", "id", unknown)
         .unionByName(related_parts(chosen, buildings))
-        .unionByName(orphan_parts(requests, ready, mode).select("request_id", "id", unknown)))
-    return rows.join(with_interior_point(buildings.select(*ATTRIBUTES, "rings")), "id").select(
+        .unionByName(orphan_parts(requests, ready, buildings, mode).select("request_id", "id", unknown)))
+    rows = cut_lineage(rows)
+    answered = buildings.select(*ATTRIBUTES, "rings").join(rows.select("id").distinct(), "id", "left_semi")
+    return rows.join(with_interior_point(answered), "id").select(
         "request_id", *ATTRIBUTES, "intersects_parent", "representative_point").orderBy("request_id", "osm_id", "id")
 
 
@@ -120,13 +129,13 @@ def with_interior_point(df: DataFrame) -> DataFrame:
     )
 
 
-def observability(requests, ready, mode="intersects") -> DataFrame:
+def observability(requests, ready, shapes, mode="intersects") -> DataFrame:
     """Per request: outline candidates, whether the limit cut, rows removed as copies.
 
     The number returned is the number of distinct places up to the limit, so both
     counts come from one pass over the pairs.
     """
-    per_place = outline_candidates(requests, ready, mode).groupBy("request_id", "place").agg(
+    per_place = outline_candidates(requests, ready, shapes, mode).groupBy("request_id", "place").agg(
         F.count("*").alias("n"))
     counts = per_place.groupBy("request_id").agg(
         F.sum("n").alias("outline_candidates"), F.count("*").alias("_places"))

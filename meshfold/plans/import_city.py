@@ -112,8 +112,8 @@ def run(tables: dict[str, DataFrame], master: DataFrame | None = None, first_id:
         "rings", "numbered_rings")
     numbered = ids.dense_ids(accepted, ["city", "file_key", "is_multipolygon", "pos"], first_id)
     buildings = shaped(numbered).withColumn("osm_id", F.col("id"))
-    buildings = boundary.keep_own_city(boundary.with_inside(buildings, master)).drop(
-        "inside", "tags", "reject_reason", "area_m2", "n_coords")
+    buildings = boundary.drop_outside(buildings, master).drop(
+        "tags", "reject_reason", "area_m2", "n_coords")
     counts = judged.groupBy("city").agg(
         F.count_if(F.col("reject_reason").isNull()).alias("processed"),
         F.sum("copies").alias("duplicates"),

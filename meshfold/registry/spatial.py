@@ -321,25 +321,25 @@ def keyed(cond, part):
 @query("win_01_cross_city_dedup", on_requests("SELECT request_id, id FROM dd", keyed(CENTRED, OUTLINE)))
 def _(spark, sf):
     ready = _ready(spark, sf)
-    pairs = bbox_query.outline_candidates(ft.requests(spark, sf), ready, "centroid")
+    pairs = bbox_query.outline_candidates(ft.requests(spark, sf), ready, ft.stored_buildings(spark, sf), "centroid")
     return bbox_query._ids(bbox_query.first_copies(pairs), ready)
 
 
 @query("win_02_orphan_part_dedup", on_requests("SELECT request_id, id FROM dd", keyed(MEETS, ORPHAN)))
 def _(spark, sf):
-    return bbox_query.orphan_parts(ft.requests(spark, sf), _ready(spark, sf))
+    return bbox_query.orphan_parts(ft.requests(spark, sf), _ready(spark, sf), ft.stored_buildings(spark, sf))
 
 
 @query("win_03_candidates_before_dedup", on_requests("""
 SELECT request_id, count(*) AS outline_candidates FROM keyed GROUP BY request_id""", keyed(MEETS, OUTLINE)))
 def _(spark, sf):
-    pairs = bbox_query.outline_candidates(ft.requests(spark, sf), _ready(spark, sf))
+    pairs = bbox_query.outline_candidates(ft.requests(spark, sf), _ready(spark, sf), ft.stored_buildings(spark, sf))
     return pairs.groupBy("request_id").agg(F.count("*").alias("outline_candidates"))
 
 
 @query("srt_01_limit_in_key_order", on_requests("SELECT request_id, id FROM lim", keyed(CENTRED, OUTLINE)))
 def _(spark, sf):
-    return bbox_query.outlines(ft.requests(spark, sf), _ready(spark, sf), "centroid")
+    return bbox_query.outlines(ft.requests(spark, sf), _ready(spark, sf), ft.stored_buildings(spark, sf), "centroid")
 
 
 @query("agg_15_dedup_observability", on_requests("""
@@ -349,7 +349,7 @@ SELECT r.request_id, coalesce(c, 0) AS outline_candidates, coalesce(n, 0) AS out
 FROM r LEFT JOIN (SELECT request_id, count(*) AS c FROM keyed GROUP BY 1) USING (request_id)
 LEFT JOIN (SELECT request_id, count(*) AS n FROM lim GROUP BY 1) USING (request_id)""", keyed(MEETS, OUTLINE)))
 def _(spark, sf):
-    return bbox_query.observability(ft.requests(spark, sf), _ready(spark, sf))
+    return bbox_query.observability(ft.requests(spark, sf), _ready(spark, sf), ft.stored_buildings(spark, sf))
 
 
 # ---- parts ---------------------------------------------------------------
@@ -401,7 +401,7 @@ res AS (SELECT request_id, id, NULL::BOOLEAN AS intersects_parent, 'outline' AS
                                             FULL.replace("{COND}", MEETS)))
 def _(spark, sf):
     stored = ft.stored_buildings(spark, sf)
-    chosen = bbox_query.outlines(ft.requests(spark, sf), _ready(spark, sf))
+    chosen = bbox_query.outlines(ft.requests(spark, sf), _ready(spark, sf), stored)
     return bbox_query.related_parts(chosen, stored)
 
 

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from meshfold.functions import geometry as g
-from meshfold.operators import bbox, boundary, coverage, dedup, elements, maintenance, runlog
+from meshfold.operators import bbox, boundary, cover, coverage, dedup, elements, maintenance, runlog
 from meshfold.plans import bbox_query
 from meshfold.registry import fixture_tables as ft
 
@@ -87,12 +87,41 @@ def test_box_pairs_against_brute_force(make):
 
     requests = [(i, *box(True), 10) for i in range(60)]
     boxes = [(i, *box(i % 10 == 0)) for i in range(400)]
-    got = bbox.box_pairs(make(requests, REQ), make(
-        boxes, "id bigint, min_lon bigint, min_lat bigint, max_lon bigint, max_lat bigint"))
-    pairs = [(r.request_id, r.id) for r in got.select("request_id", "id").collect()]
+    table = make(boxes, "id bigint, min_lon bigint, min_lat bigint, max_lon bigint, max_lat bigint")
     want = {(r[0], b[0]) for r in requests for b in boxes
             if b[1] <= r[3] and b[3] >= r[1] and b[2] <= r[4] and b[4] >= r[2]}
-    assert len(pairs) == len(set(pairs)) and set(pairs) == want
+    strict = {(r[0], b[0]) for r in requests for b in boxes if b[1] > r[1] and b[3] < r[3] and b[2] > r[2] and b[4] < r[4]}
+    for leaf_rows, leaf_requests in ((4096, 1024), (10, 3), (1, 1)):
+        got = cover.box_pairs(make(requests, REQ), table, leaf_rows, leaf_requests, within="inner").collect()
+        pairs = [(r.request_id, r.id) for r in got]
+        assert len(pairs) == len(set(pairs)) and set(pairs) == want
+        assert {(r.request_id, r.id) for r in got if r.inner} == strict
+    for wide in (0, 40000, bbox.WIDE):  # by the quadtree, by both, by the grid
+        got = bbox.box_pairs(make(requests, REQ), table, within="inner", wide=wide).collect()
+        pairs = [(r.request_id, r.id) for r in got]
+        assert len(pairs) == len(set(pairs)) and set(pairs) == want
+        assert {(r.request_id, r.id) for r in got if r.inner} == strict
+    assert cover.box_pairs(make(requests, REQ), table.limit(0)).count() == 0
+    assert cover.box_pairs(make([], REQ), table).count() == 0
+
+
+def test_a_country_wide_request_is_dealt_by_rows(spark):
+    """Half of all boxes in one cell, the rest in towns: no task gets over twice the median of rows."""
+    spot = F.when(F.col("id") % 2 == 0, 0).otherwise(F.xxhash64("id") % 2000000)
+    boxes = spark.range(60000).select("id", (X + spot).alias("min_lon"), (Y + spot * 3).alias("min_lat")).withColumns(
+        {"max_lon": F.col("min_lon") + 900, "max_lat": F.col("min_lat") + 900})
+    request = spark.createDataFrame([(1, X - 9000000, Y - 9000000, X + 9000000, Y + 9000000, 5)], REQ)
+    as_if_large = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    for key, value in as_if_large.items():
+        spark.conf.set(key, value)
+    try:
+        pairs = cover.box_pairs(request, boxes, leaf_rows=250, within="inner")
+        sizes = [r["count"] for r in pairs.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == 60000 and max(sizes) <= 2 * sorted(sizes)[len(sizes) // 2]
+        assert pairs.filter("not inner").count() == 0
+    finally:
+        for key in as_if_large:
+            spark.conf.unset(key)
 
 
 def test_limit_in_a_hot_group(spark):
@@ -120,6 +149,34 @@ def test_boundary_with_hole_and_two_polygons(make):
     assert got == {1: False, 2: True, 3: True, 4: False, 5: None, 6: None, 7: None}
 
 
+def test_crossings_of_crowded_bands(make):
+    """A jagged boundary in one band, cut into many sub-bands, against the ray over all edges."""
+    rng = random.Random(8)
+    ring = [(X + i * 700, Y + rng.randrange(0, 40000)) for i in range(300)] + [(X + 200000, Y + 90000), (X, Y + 90000)]
+    shape = "array<array<array<struct<lon_i:bigint,lat_i:bigint>>>>"
+    master = make([("13101", [[ring]])], f"city_code string, boundary {shape}")
+    rows = [(i, "13101", X + rng.randrange(-500, 211000) + rng.choice([0.0, 0.5]), Y + rng.randrange(-5, 100000) + rng.choice([0.0, 0.25]))
+            for i in range(500)] + [(1000 + i, "13101", float(x), float(y)) for i, (x, y) in enumerate(ring[:40])]
+    points = make(rows, "id bigint, city_code string, cen_lon double, cen_lat double")
+    edges = list(zip(ring, ring[1:] + ring[:1]))
+
+    def inside(x, y):
+        odd = False
+        for (x1, y1), (x2, y2) in edges:
+            o = (x2 - x1) * (y - y1) - (y2 - y1) * (x - x1)
+            if o == 0 and min(x1, x2) <= x <= max(x1, x2) and min(y1, y2) <= y <= max(y1, y2):
+                return False
+            odd ^= (y1 <= y < y2 and o > 0) or (y2 <= y < y1 and o < 0)
+        return odd
+
+    want = {i: inside(x, y) for i, _, x, y in rows}
+    for crowd in (1, 10, 64):
+        got = boundary.crossings(points, ["id", "city_code", "cen_lon"], "cen_lon", "cen_lat", master, crowd=crowd).collect()
+        assert {r.id: r.odd and not r.on for r in got} == want
+    assert any(want.values()) and "collect_list" not in points.sparkSession._jvm.PythonSQLUtils.explainString(
+        boundary.inside_flags(points, master)._jdf.queryExecution(), "simple")
+
+
 # ---- elements ------------------------------------------------------------
 
 NODE = ("id bigint, osm_id bigint, lat double, lon double, sequence_id int, building_id bigint, ring_id int")
