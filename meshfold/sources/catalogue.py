@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meshfold import fixed_values as fv
-from meshfold.functions.text import first_group
+from meshfold.functions.text import filled, first_group
 
 CITY_KEYS = ("citycode", "cityname", "folder", "status", "lng", "lat")
 MESH_KEYS = ("meshcode", "status", "version")
@@ -16,41 +16,47 @@ def _array_text(html: Column, name: str) -> Column:
     return first_group(html, rf"(?s)const\s+{name}\s*=\s*(\[.*?\]);")
 
 
-def _strict_objects(array_text: Column, keys) -> Column:
-    """Objects of a strict JSON array, NULL if it is not JSON."""
-    schema = "array<struct<" + ",".join(f"{k}:string" for k in keys) + ">>"
-    options = {"allowSingleQuotes": "false", "allowUnquotedFieldNames": "false", "mode": "PERMISSIVE"}
-    return F.from_json(array_text, schema, options)
+# Script notation that JSON proper does not allow.
+SCRIPT_NOTATION = {"allowSingleQuotes": "true", "allowUnquotedFieldNames": "true", "allowComments": "true",
+                   "allowBackslashEscapingAnyCharacter": "true", "mode": "PERMISSIVE"}
+JSON_PROPER = {"allowSingleQuotes": "false", "allowUnquotedFieldNames": "false", "mode": "PERMISSIVE"}
 
 
-def _loose_objects(array_text: Column, keys, numeric: bool) -> Column:
-    """Objects picked out by their quotes, for script-style arrays."""
-    blocks = F.regexp_extract_all(array_text, F.lit(r"(?s)(\{[^}]*?" + keys[0] + r"[^}]*?\})"), 1)
+def _fields(keys) -> str:
+    return "struct<" + ",".join(f"{k}:string" for k in keys) + ">"
 
-    def value(block, key):
-        found = [first_group(block, rf'"{key}"\s*:\s*"([^"]*)"'), first_group(block, rf"'{key}'\s*:\s*'([^']*)'")]
-        if numeric:
-            found.append(first_group(block, rf'"{key}"\s*:\s*([0-9.]+)'))
-        return F.coalesce(*found)
 
-    return F.filter(F.transform(blocks, lambda b: F.struct(*[value(b, k).alias(k) for k in keys])),
-                    lambda o: o[keys[0]].isNotNull())
+def _json_objects(array_text: Column, keys) -> Column:
+    """Objects of an array in JSON proper, NULL if it is none."""
+    return F.from_json(array_text, f"array<{_fields(keys)}>", JSON_PROPER)
 
 
-def _objects(pages: DataFrame, name: str, keys, numeric: bool, html: str) -> DataFrame:
+def _script_objects(array_text: Column, keys) -> Column:
+    """Objects of an array in script notation. Each flat object is parsed by itself, so a broken
+    one costs no other; an empty value is NULL, and an object without its first key is left out."""
+    pieces = F.regexp_extract_all(array_text, F.lit(r"\{[^{}]*\}"), 0)
+
+    def parsed(piece):
+        o = F.from_json(F.regexp_replace(piece, r",\s*\}$", "}"), _fields(keys), SCRIPT_NOTATION)
+        return F.struct(*[filled(o[k]).alias(k) for k in keys])
+
+    return F.filter(F.transform(pieces, parsed), lambda o: o[keys[0]].isNotNull())
+
+
+def _objects(pages: DataFrame, name: str, keys, html: str) -> DataFrame:
     # The scanned text is a column of its own so that it is extracted once.
     found = pages.withColumn("_array", _array_text(F.col(html), name)).filter("_array is not null")
-    parsed = found.withColumn("_strict", _strict_objects(F.col("_array"), keys))
-    objects = F.coalesce("_strict", _loose_objects(F.col("_array"), keys, numeric))
+    parsed = found.withColumn("_proper", _json_objects(F.col("_array"), keys))
+    objects = F.coalesce("_proper", _script_objects(F.col("_array"), keys))
     return parsed.select("page_id", F.posexplode(objects).alias("pos", "o")).select("page_id", "pos", "o.*")
 
 
 def cities(pages: DataFrame, html: str = "html") -> DataFrame:
-    return _objects(pages, "cities", CITY_KEYS, True, html)
+    return _objects(pages, "cities", CITY_KEYS, html)
 
 
 def meshes(pages: DataFrame, html: str = "html") -> DataFrame:
-    return _objects(pages, "meshes", MESH_KEYS, False, html)
+    return _objects(pages, "meshes", MESH_KEYS, html)
 
 
 def archive_links(pages: DataFrame, html: str = "html") -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from meshfold.functions import geometry as g
 from meshfold.functions import ids, numbers, text
+from meshfold.sources import catalogue
 
 POLY = "id int, rings array<array<struct<lon_i:bigint,lat_i:bigint>>>"
 
@@ -195,3 +196,17 @@ def test_polygon_and_box_predicates_against_brute_force(make):
         assert r.pp == _intersect(a, b), rows[r.id]
         assert r.pb == _intersect(a, [(w, s), (e, s), (e, n), (w, n)]), rows[r.id]
         assert r.pt == _covers(a, (w, s)), rows[r.id]
+
+
+def test_catalogue_in_script_notation(make):
+    pages = make([
+        (1, """const cities = [{citycode: '13101', 'cityname': "Chiyoda", folder: '', lng: 139.75}, // first
+            {'citycode': '13102', cityname: 'O\\'Hara',}, {broken, {cityname: 'no code'}];"""),
+        (2, 'const cities = [{"citycode": "13103", "folder": ""}];'), (3, "const cities = [];"), (4, None)],
+        "page_id int, html string")
+    rows = {(r.page_id, r.citycode): r for r in catalogue.cities(pages).collect()}
+    assert set(rows) == {(1, "13101"), (1, "13102"), (2, "13103")}
+    first = rows[1, "13101"]
+    assert (first.cityname, first.folder, first.lng, first.lat) == ("Chiyoda", None, "139.75", None)
+    assert rows[1, "13102"].cityname == "O'Hara"
+    assert rows[2, "13103"].folder == ""
