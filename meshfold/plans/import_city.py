@@ -12,6 +12,7 @@ from meshfold.functions import geometry as g
 from meshfold.functions import ids, numbers
 from meshfold.functions.text import city_from_directory
 from meshfold.operators import assemble, boundary, maintenance, normalise
+from meshfold.plans import id_ranges
 from meshfold.session import cut_lineage
 
 REPORT_TAGS = ("building", "height", "name", "addr:full")
@@ -23,6 +24,7 @@ class Imported:
     nodes: DataFrame       # one row per (building, node)
     rejects: DataFrame     # one row per rejected building, with its reason
     counts: DataFrame      # processed / duplicate / skipped by city
+    ranges: DataFrame | None = None  # the span of ids given to each city
 
 
 def with_city(df: DataFrame) -> DataFrame:
@@ -103,7 +105,8 @@ def shaped(df: DataFrame) -> DataFrame:
 def run(tables: dict[str, DataFrame], master: DataFrame | None = None, first_id: int = 1,
         bounds=assemble.BOUNDS) -> Imported:
     """``tables`` as given by the mesh scan. Buildings outside of their own city's
-    boundary are left out, together with their nodes."""
+    boundary are left out, together with their nodes. Ids count from ``first_id``; storing
+    moves them to the range that each city has in the stored tables."""
     raw = with_city(assemble.footprints(tables, bounds)).withColumn(
         "rings", assemble.drop_bad_holes(F.col("rings")))
     # Read three times below (accepted, rejected, counts): frozen once.
@@ -119,13 +122,23 @@ def run(tables: dict[str, DataFrame], master: DataFrame | None = None, first_id:
         F.sum("copies").alias("duplicates"),
         F.count_if(F.col("reject_reason").isNotNull()).alias("skipped"),
         F.max(F.size("rings") - 1).alias("max_inner_rings"))
-    return Imported(buildings, node_rows(buildings), reject_report(judged), counts)
+    return Imported(buildings, node_rows(buildings), reject_report(judged), counts,
+                    cut_lineage(id_ranges.used(numbered)))
 
 
-def store(result: Imported, buildings_path: str, nodes_path: str, cities: DataFrame | None = None) -> None:
+def store(result: Imported, buildings_path: str, nodes_path: str, cities: DataFrame | None = None,
+          ids_path: str | None = None) -> None:
     """Replace the imported cities in the stored tables: by default those that were judged. A
-    city without accepted rows ends empty."""
+    city without accepted rows ends empty. Ids come from the ranges kept in ``ids_path``, by
+    default beside the buildings, so they never meet those of other cities, and a repeated
+    import gives the same ids."""
+    spark = result.buildings.sparkSession
+    ids_path = ids_path or buildings_path.rstrip("/") + "_ids"
+    given = result.ranges if result.ranges is not None else cut_lineage(id_ranges.used(result.buildings))
+    taken = id_ranges.take(spark, ids_path, given, buildings_path)
+    buildings = id_ranges.moved(result.buildings, taken, given, "id", "osm_id")
+    nodes = id_ranges.moved(result.nodes, taken, given, "building_id")
     if cities is None:
         cities = result.counts.select(F.col("city").alias("city_code"))
-    maintenance.replace_cities(result.buildings.drop("numbered_rings", "copies"), buildings_path, ["id"], cities)
-    maintenance.replace_cities(result.nodes, nodes_path, ["building_id"], cities)
+    maintenance.replace_cities(buildings.drop("numbered_rings", "copies"), buildings_path, ["id"], cities)
+    maintenance.replace_cities(nodes, nodes_path, ["building_id"], cities)

@@ -12,7 +12,7 @@ from meshfold.plans import import_city
 from meshfold.registry import fixture_sql as fs
 from meshfold.registry import fixture_tables as ft
 from meshfold.registry.core import query
-from meshfold.session import new_folder
+from meshfold.session import cut_lineage, new_folder
 from meshfold.sources import mesh_xml
 
 BASE = """
@@ -415,6 +415,30 @@ def _(spark, sf):
     return by_city(import_city.run(cut).buildings)
 
 
+IMPORTED_NODES = """(SELECT id AS building_id, city AS city_code,
+  -(1 + (vy - 200000000) * 320000001 + (vx - 1220000000)) AS osm_id, e.ring AS ring_id, e.seq AS sequence_id
+  FROM attr JOIN ept e USING (k) JOIN cnt ON cnt.k = e.k AND cnt.ring = e.ring
+  WHERE e.seq < 99 AND (e.ring = 0 OR cnt.n_open + 1 >= 4))"""
+
+
+# Ids of the import where the query below stores the later cities first.
+LATER_FIRST = f"""SELECT row_number() OVER (ORDER BY city < '13110', city, fk, is_mp, epos) AS id, city AS city_code,
+ element AS source_element, nodes FROM acc JOIN (SELECT building_id AS id, count(DISTINCT osm_id) AS nodes FROM
+ {IMPORTED_NODES} GROUP BY 1) USING (id)"""
+
+
+@query("id_01_ranges_of_imports", raw(LATER_FIRST))
+def _(spark, sf):
+    # Two imports of different cities into one table, then the first once more: no id given by the caller.
+    buildings, nodes = new_folder(spark, "buildings"), new_folder(spark, "nodes")
+    early = F.substring_index("file_key", "/", 1) < "13110"
+    for part in (~early, early, ~early):
+        tables = {n: df.filter(part) for n, df in elements(spark, sf).items()}
+        import_city.store(import_city.run(tables), buildings, nodes)
+    counted = spark.read.parquet(nodes).groupBy(F.col("building_id").alias("id")).agg(F.count("*").alias("nodes"))
+    return spark.read.parquet(buildings).join(counted, "id").select("id", "city_code", "source_element", "nodes")
+
+
 @query("str_01_drop_folder", fs.with_ctes(fs.POS, WHOLE_FILES, body=BY_MESH))
 def _(spark, sf):
     # The same files taken in by a stream in several batches, city by city.
@@ -430,6 +454,37 @@ def _(spark, sf):
     return by_city(spark.read.parquet(buildings))
 
 
+@query("str_01_corrected_files", fs.with_ctes(fs.POS, BASE.replace(
+    "FROM kept JOIN fp USING (k))", "FROM kept JOIN fp USING (k) WHERE (CAST(city AS INTEGER) + CAST(mesh AS INTEGER)) % 3 <> 0)"),
+    body="SELECT city AS city_code, element AS source_element, mesh, building, height, building_levels FROM attr"))
+def _(spark, sf):
+    # After the import, revision 1 completes the broken files and revision 2 empties every third one.
+    from meshfold.streaming import drop_folder
+
+    folder, work, buildings, nodes = (new_folder(spark, n) for n in ("drop", "work", "buildings", "nodes"))
+    lines = mesh_xml.element_lines(elements(spark, sf)).withColumns({
+        "city": F.substring_index("file_key", "/", 1), "mesh": F.regexp_extract("file_key", "/([0-9]+)_", 1)})
+    number = F.col("city").cast("int") + F.col("mesh").cast("int")
+
+    def write(rows, path):
+        mesh_xml.write_lines(rows, path, ["city", "mesh"], ["section", "pos"])
+
+    def run():
+        drop_folder.run_available(spark, folder, manifest, work, buildings, nodes, key=lambda path: F.regexp_replace(
+            drop_folder.plain_key(path), "/mesh=([0-9]+)/.*$", "/$1_bldg_6697_op.osm"))
+
+    write(lines.filter((number % 7 != 0) | (F.col("section") != 4)), folder)
+    manifest = cut_lineage(mesh_xml.list_files(spark, folder).groupBy(
+        drop_folder.city_of(F.col("file_key")).alias("city_code")).agg(F.count("*").cast("string").alias("declared")))
+    run()
+    write(lines.filter(number % 7 == 0), f"{folder}/rev=1")
+    write(lines.filter((number % 3 == 0) & F.col("section").isin(0, 4)), f"{folder}/rev=2")
+    run()
+    return spark.read.parquet(buildings).select(
+        "city_code", "source_element", F.regexp_extract("source_dataset", "_([0-9]+)_bldg", 1).alias("mesh"),
+        "building", "height", "building_levels")
+
+
 @query("id_01_surrogate_ids", raw("SELECT id, city AS city_code, element AS source_element FROM acc"))
 def _(spark, sf):
     rows = first_judged(spark, sf).filter("reject_reason is null").select(
@@ -438,12 +493,6 @@ def _(spark, sf):
         "id", F.col("city").alias("city_code"), F.col("element").alias("source_element"))
 
 
-IMPORTED_NODES = """(SELECT id AS building_id, city AS city_code,
-  -(1 + (vy - 200000000) * 320000001 + (vx - 1220000000)) AS osm_id, e.ring AS ring_id, e.seq AS sequence_id
-  FROM attr JOIN ept e USING (k) JOIN cnt ON cnt.k = e.k AND cnt.ring = e.ring
-  WHERE e.seq < 99 AND (e.ring = 0 OR cnt.n_open + 1 >= 4))"""
-
-
 @query("win_05_node_dedup", raw(f"""
 SELECT building_id, osm_id, CAST(min(ring_id) AS INTEGER) AS ring_id FROM {IMPORTED_NODES} GROUP BY ALL"""))
 def _(spark, sf):
