@@ -47,7 +47,7 @@ class Bm25:
 class Index:
     """Inverted index over the pieces of one shard."""
 
-    def __init__(self, pieces: list[np.ndarray], model: Bm25, query_terms: int | None = None):
+    def __init__(self, pieces: list[np.ndarray], model: Bm25):
         sizes = np.array([len(p) for p in pieces], np.int64)
         vocabulary = len(model.frequency)
         owner = np.repeat(np.arange(len(pieces)), sizes)
@@ -55,33 +55,37 @@ class Index:
         doc, term = keys // vocabulary, keys % vocabulary
         weight = model.weight(term, counts, sizes[doc])
         self.bounds = np.searchsorted(doc, np.arange(len(pieces) + 1))
-        self.terms, self.strength = term, weight
+        self.terms = term
         order = np.argsort(term, kind="stable")
-        self.docs, self.weights = doc[order], weight[order]
-        self.postings = np.searchsorted(term[order], np.arange(vocabulary + 1))
-        self.query_terms, self.size = query_terms, len(pieces)
-
-    def query(self, piece: int) -> np.ndarray:
-        """The piece's terms; with ``query_terms`` only so many, of the greatest weight."""
-        at = slice(self.bounds[piece], self.bounds[piece + 1])
-        if self.query_terms is None:
-            return self.terms[at]
-        best = np.lexsort((self.terms[at], -self.strength[at]))[:self.query_terms]
-        return self.terms[at][best]
-
-    def scores(self, piece: int) -> np.ndarray:
-        term = self.query(piece)
-        first, size = self.postings[term], self.postings[term + 1] - self.postings[term]
-        at = np.repeat(first - np.cumsum(size) + size, size) + np.arange(size.sum())  # all their postings
-        return np.bincount(self.docs[at], self.weights[at], self.size)
+        self.docs, self.weights, self.owners = doc[order], weight[order], term[order]
+        self.vocabulary, self.size = np.arange(vocabulary + 1), len(pieces)
+        self.postings = np.searchsorted(self.owners, self.vocabulary)
 
+    def keep(self, live: np.ndarray) -> None:
+        """Leave out the postings of pieces that are no longer ``live``; the order stays."""
+        kept = live[self.docs]
+        self.docs, self.weights, self.owners = self.docs[kept], self.weights[kept], self.owners[kept]
+        self.postings = np.searchsorted(self.owners, self.vocabulary)
 
-def fill(pieces: list[np.ndarray], window: int, model: Bm25, query_terms: int | None = None):
+    def scores(self, piece: int) -> np.ndarray:
+        """BM25 of every piece against all terms of one."""
+        term = self.terms[self.bounds[piece]:self.bounds[piece + 1]]
+        first, last = self.postings[term], self.postings[term + 1]
+        there = first < last
+        at = [slice(a, b) for a, b in zip(first[there].tolist(), last[there].tolist())]
+        if not at:
+            return np.zeros(self.size)
+        return np.bincount(np.concatenate([self.docs[x] for x in at]),
+                           np.concatenate([self.weights[x] for x in at]), self.size)
+
+
+def fill(pieces: list[np.ndarray], window: int, model: Bm25):
     """Sequences of (piece, first id, ids): every id of every piece once, each sequence
     but the last exactly ``window`` long. Ties go to the earlier piece."""
     if not pieces:
         return
-    index = Index(pieces, model, query_terms)
+    index = Index(pieces, model)
+    indexed = len(pieces)
     left = np.array([len(p) for p in pieces], np.int64)
     used = np.zeros(len(pieces), np.int64)
     seed = 0
@@ -101,7 +105,11 @@ def fill(pieces: list[np.ndarray], window: int, model: Bm25, query_terms: int |
         parts = [take(seed, window)]
         space = window - parts[0][2]
         if space:
-            score = np.where(left > 0, index.scores(seed), -1.0)
+            live = left > 0
+            if 4 * live.sum() < 3 * indexed:
+                index.keep(live)
+                indexed = int(live.sum())
+            score = np.where(live, index.scores(seed), -1.0)
             near = np.argpartition(-score, min(64, len(score) - 1))[:64]
             near = near[np.lexsort((near, -score[near]))]
             for candidates in (near, None):  # the nearest, then on down the ranking; pieces without a score are last
@@ -126,32 +134,26 @@ def fill(pieces: list[np.ndarray], window: int, model: Bm25, query_terms: int |
         yield parts
 
 
-def _statistics(rows: DataFrame, vocabulary: int) -> Bm25:
-    """Document frequencies of token ids, counted over all documents."""
-    def count(batches):
-        seen, documents, ids = np.zeros(vocabulary, np.int64), 0, 0
+def _statistics(counted: DataFrame, vocabulary: int) -> Bm25:
+    """Document frequencies of token ids over all documents, from the counts of each task."""
+    def terms(batches):
         for batch in batches:
             for data in batch.column(0).to_pylist():
-                own = np.frombuffer(data, "<u4")
-                seen[np.unique(own)] += 1
-                documents, ids = documents + 1, ids + len(own)
-        terms = np.nonzero(seen)[0]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([*terms, -1, -2], pa.int64()), pa.array([*seen[terms], documents, ids], pa.int64())], ["term", "n"])
-
-    # At most one row per id of the vocabulary reaches the driver.
-    found = rows.select("ids").mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
-    n = {r.term: r.n for r in found.collect()}
-    frequency = np.zeros(vocabulary)
-    for term, count_ in n.items():
-        if term >= 0:
-            frequency[term] = count_
-    documents = n.get(-1, 0)
-    return Bm25(frequency, documents, n.get(-2, 0) / max(documents, 1))
+                counts = np.frombuffer(data, "<i8")
+                term = np.nonzero(counts)[0]
+                yield pa.RecordBatch.from_arrays([pa.array(term), pa.array(counts[term])], ["term", "n"])
+
+    # At most one row per id of the vocabulary reaches the driver, and two with the totals.
+    found = counted.mapInArrow(terms, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
+    counts = np.zeros(vocabulary + 2)
+    for r in found.collect():
+        counts[r.term] = r.n
+    documents, ids = counts[vocabulary:]
+    return Bm25(counts[:vocabulary], int(documents), ids / max(documents, 1))
 
 
 def pack(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", window: int = 2048,
-         shard_tokens: int = 1 << 21, query_terms: int | None = None) -> DataFrame:
+         shard_tokens: int = 1 << 21) -> DataFrame:
     """Pieces of packed sequences: doc_id, start (the document's ids before the piece),
     length, ids (little-endian uint32), doc_tokens, sequence_id, offset in the sequence.
 
@@ -159,22 +161,33 @@ def pack(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text",
     rows and ids are packed as documents of their own; an empty table gives no pieces.
     Sequences are ``window`` long but for the last of each shard, which is to be padded.
     """
+    vocabulary = tokens.encoder(path).tokenizer.get_vocab_size()
     numbered = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     def number(batches):  # encodes as well: a Python worker more for each core would hold the vocabulary twice
         encode = tokens.encoder(path).encode
         base = TaskContext.get().partitionId() << 32
+        counts = np.zeros(vocabulary + 2, np.int64)  # documents of each id, then documents and ids
         for batch in batches:
             ids = encode(batch.column(1).to_pylist())
             sizes = np.fromiter(map(len, ids), np.int64, len(ids))
             whole = sizes // window
             first = base + np.cumsum(whole) - whole
             base += int(whole.sum())
+            for own in ids:
+                counts[np.unique(own)] += 1
+            counts[vocabulary:] += len(ids), int(sizes.sum())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([x.tobytes() for x in ids], pa.binary()), pa.array(sizes), pa.array(first),
+                 pa.nulls(len(ids), pa.binary())], names)
+        if counts[vocabulary]:  # one more row a task: its part of the document frequencies
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([x.tobytes() for x in ids], pa.binary()), pa.array(sizes), pa.array(first)],
-                ["doc_id", "ids", "doc_tokens", "first"])
+                [pa.array([None], t) for t in (pa.int64(), pa.binary(), pa.int64(), pa.int64())]
+                + [pa.array([counts.tobytes()], pa.binary())], names)
 
-    encoded = store(numbered.mapInArrow(number, "doc_id long, ids binary, doc_tokens long, first long"),
+    names = ["doc_id", "ids", "doc_tokens", "first", "counts"]
+    written = store(numbered.mapInArrow(number, "doc_id long, ids binary, doc_tokens long, first long, counts binary"),
                     "packing-ids", compression="zstd")
+    encoded = written.where("counts is null").drop("counts")
     size = 4 * window
     windows = F.expr(f"transform(sequence(0L, doc_tokens div {window} - 1), k -> named_struct("
                      f"'k', k, 'ids', substring(ids, int(k * {size}) + 1, {size})))")
@@ -187,7 +200,7 @@ def pack(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text",
     rest = encoded.where(F.col("doc_tokens") % window > 0)
     total = rest.agg(F.sum(F.col("doc_tokens") % window)).first()[0] or 0
     shards = max(1, -(-total // shard_tokens))
-    model = _statistics(encoded, tokens.encoder(path).tokenizer.get_vocab_size())
+    model = _statistics(written.where("counts is not null").select("counts"), vocabulary)
     rest = rest.select("doc_id", start.alias("start"), "doc_tokens",
                        F.expr(f"substring(ids, int(doc_tokens - doc_tokens % {window}) * 4 + 1)").alias("ids"),
                        F.pmod(F.xxhash64("doc_id", "ids", F.monotonically_increasing_id()), F.lit(shards))
@@ -198,7 +211,7 @@ def pack(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text",
         doc, begin, length = (data[c].to_pylist() for c in ("doc_id", "start", "doc_tokens"))
         pieces = [np.frombuffer(x.as_buffer(), "<u4") for x in data["ids"]]
         out = [[] for _ in range(7)]
-        for k, parts in enumerate(fill(pieces, window, model, query_terms)):
+        for k, parts in enumerate(fill(pieces, window, model)):
             offset = 0
             for piece, first, count in parts:
                 for column, value in zip(out, (doc[piece], begin[piece] + first, count,

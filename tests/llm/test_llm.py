@@ -84,7 +84,7 @@ def test_neighbours_rank_as_bm25_by_hand():
         frequency[np.unique(p)] += 1
     mean = np.mean([len(p) for p in pieces])
     model = packing.Bm25(frequency, 40, mean)
-    index = packing.Index(pieces, model, 30)
+    index = packing.Index(pieces, model)
     for q in range(40):
         for d in range(40):
             want = 0.0
@@ -107,7 +107,7 @@ def test_windows_follow_the_whole_ranking():
     pieces = [rng.integers(0, 400, 40).astype(np.uint32) for _ in range(120)]
     frequency = np.bincount(np.concatenate([np.unique(p) for p in pieces]), minlength=400).astype(float)
     model = packing.Bm25(frequency, 120, 40.0)
-    whole = packing.Index(pieces, model, 400)
+    whole = packing.Index(pieces, model)
     ranked = [int(p) for p in np.argsort(-whole.scores(0), kind="stable") if p]
     first = next(packing.fill(pieces, 320, model))  # a seed of about 38 terms and seven neighbours
     assert [p for p, _, _ in first] == [0, *ranked[:7]]
@@ -115,6 +115,47 @@ def test_windows_follow_the_whole_ranking():
     assert [p for p, _, _ in first] == [0, *ranked[:99]]
 
 
+def test_every_window_takes_the_best_unused_pieces():
+    rng = np.random.default_rng(9)
+    pieces = [rng.integers(0, 300, n).astype(np.uint32) for n in rng.integers(1, 60, 150)]
+    frequency = np.bincount(np.concatenate([np.unique(p) for p in pieces]), minlength=300).astype(float)
+    model = packing.Bm25(frequency, 150, float(np.mean([len(p) for p in pieces])))
+    whole, left = packing.Index(pieces, model), [len(p) for p in pieces]
+    for parts in packing.fill(pieces, 256, model):
+        (seed, _, size), space = parts[0], 256
+        assert seed == next(i for i, n in enumerate(left) if n)
+        left[seed] -= size
+        space -= size
+        score = whole.scores(seed)
+        ranked = sorted((i for i in range(150) if left[i]), key=lambda i: (-score[i], i))
+        want, cut = [], None
+        for rank, i in enumerate(ranked):
+            if left[i] <= space:
+                want.append((i, left[i]))
+                space -= left[i]
+            elif cut is None:
+                cut = i
+            if not space or cut is not None and rank >= 63:
+                break
+        if space and cut is not None:
+            want.append((cut, space))
+        assert [(i, n) for i, _, n in parts[1:]] == want
+        for i, n in want:
+            left[i] -= n
+    assert not any(left)
+
+
+def test_frequencies_are_counted_while_encoding(make, monkeypatch):
+    seen = []
+    monkeypatch.setattr(packing, "_statistics", lambda *a, real=packing._statistics: seen.append(real(*a)) or seen[-1])
+    packing.pack(make(RAW, "doc_id long, text string").repartition(3), tokens.word_bpe_path(), window=64).count()
+    ids = [direct_ids(t) for _, t in RAW]
+    want = Counter(x for own in ids for x in set(own))
+    got = {int(i): int(seen[0].frequency[i]) for i in np.nonzero(seen[0].frequency)[0]}
+    assert got == dict(want) and seen[0].documents == len(ids)
+    assert seen[0].mean_length == pytest.approx(sum(map(len, ids)) / len(ids))
+
+
 def test_token_files_come_back_whole(spark, docs, none):
     folder = new_folder(spark, "t")
     tokenfiles.write(docs, folder, tokens.word_bpe_path(), sample_documents=4)
