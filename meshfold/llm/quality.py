@@ -5,8 +5,9 @@ unlabelled texts alone, by the non-negative unbiased risk
 
     prior * E_P[l(g)] + max(0, E_U[l(-g)] - prior * E_P[l(-g)])        l(z) = log(1 + exp(-z))
 
-with an estimated class prior. The fit uses at most about ``fit_rows`` texts of each kind,
-chosen by a hash of the row; every text is scored.
+with an estimated class prior. The fit uses at most ``fit_rows`` texts of each kind,
+chosen and ordered by a hash of the row, so the weights do not depend on how the table is
+parted; every text is scored.
 """
 
 from __future__ import annotations
@@ -70,22 +71,29 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int =
     return weights
 
 
-def _features(rows: DataFrame, text: str) -> DataFrame:
+def _features(rows: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """The features of each text, and a hash of the row that orders them whatever the layout."""
+    marked = rows.select(F.xxhash64(doc_id, text).alias("mark"), F.col(text).alias("text"))
+
     def run(batches):
         for batch in batches:
-            found = np.stack([features(t) for t in batch.column(0).cast(pa.binary()).to_pylist()] or [np.zeros(WIDTH)])
-            yield pa.RecordBatch.from_arrays([pa.array([r.tobytes() for r in found[:len(batch)]], pa.binary())], ["x"])
+            found = [features(t).tobytes() for t in batch.column(1).cast(pa.binary()).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["mark", "x"])
 
-    return rows.select(text).mapInArrow(run, "x binary")
+    return marked.mapInArrow(run, "mark long, x binary")
 
 
-def _chosen(rows: DataFrame, text: str, most: int) -> np.ndarray:
-    """Features of all rows, or of about ``most`` of them by a hash, never over twice that."""
+def _chosen(rows: DataFrame, doc_id: str, text: str, most: int) -> np.ndarray:
+    """Features of the ``most`` rows of smallest hash, in that order: the same rows however the
+    table is parted. Rows equal in id and text hash alike, so a table of repeats gives repeats."""
     n = rows.count()
     if n > most:
-        mark = F.pmod(F.xxhash64(F.monotonically_increasing_id(), text), F.lit(1_000_003))
-        rows = rows.where(mark < int(1_000_003 * most / n))
-    found = _features(rows, text).limit(2 * most).collect()
+        # Over all rows the hash is even; twice the share leaves enough for the exact cut below,
+        # unless repeats take part: then the cut is over all rows.
+        share = rows.where(F.pmod(F.xxhash64(doc_id, text), F.lit(1_000_003)) < int(2_000_006 * most / n))
+        rows = share if share.count() >= most else rows
+    place = F.pmod("mark", F.lit(1_000_003))
+    found = _features(rows, doc_id, text).orderBy(place, "mark", "x").limit(most).collect()
     return np.frombuffer(b"".join(bytes(r.x) for r in found), np.float32).reshape(-1, WIDTH)
 
 
@@ -105,8 +113,8 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     mark = F.xxhash64(doc_id, F.lit("fit"))
     trusted = learnt.where("label = 1").orderBy(mark, doc_id).limit(fit_rows).select(doc_id)
     own = docs.where(fold(F.col(doc_id), folds) != held).select(doc_id, text)
-    positive = _chosen(own.join(F.broadcast(trusted), doc_id, "left_semi"), text, fit_rows)
-    return fit(positive, _chosen(own, text, fit_rows), prior)
+    positive = _chosen(own.join(F.broadcast(trusted), doc_id, "left_semi"), doc_id, text, fit_rows)
+    return fit(positive, _chosen(own, doc_id, text, fit_rows), prior)
 
 
 def score(docs: DataFrame, weights: np.ndarray, text: str = "text", name: str = "score") -> DataFrame:
