@@ -88,19 +88,25 @@ def records(stream: io.BufferedIOBase) -> Iterator[tuple[dict[str, str], bytes,
 
 def normalise(source: str, target: str, index: str, level: int = 6) -> tuple[int, bool]:
     """Rewrite one archive, whatever its members, record by record. Returns how many records
-    there were, and False where the stream was cut or broken: the records before are kept."""
+    there were, and False where the stream was cut or broken: the records before are kept. A
+    fault of the store itself, in reading or writing, is raised, so that the task is run again."""
     count, place, complete = 0, 0, True
     with files.reader(source) as raw, files.writer(target) as out, files.writer(index) as places:
         stream = io.BufferedReader(gzip.GzipFile(fileobj=raw, mode="rb"), 1 << 16)
-        try:
-            for head, _, whole in records(stream):
-                pack = zlib.compressobj(level, zlib.DEFLATED, 31)
-                member = pack.compress(whole) + pack.flush()
-                out.write(member)
-                places.write(f"{place} {len(member)} {head.get('warc-type')} {head.get('warc-record-id')}\n".encode())
-                place, count = place + len(member), count + 1
-        except (EOFError, ValueError, KeyError, OSError, zlib.error):
-            complete = False
+        found = records(stream)
+        while True:
+            try:
+                head, _, whole = next(found)
+            except StopIteration:
+                break
+            except (EOFError, ValueError, KeyError, gzip.BadGzipFile, zlib.error):
+                complete = False
+                break
+            pack = zlib.compressobj(level, zlib.DEFLATED, 31)
+            member = pack.compress(whole) + pack.flush()
+            out.write(member)
+            places.write(f"{place} {len(member)} {head.get('warc-type')} {head.get('warc-record-id')}\n".encode())
+            place, count = place + len(member), count + 1
     return count, complete
 
 

@@ -577,6 +577,39 @@ def test_a_cut_stream_keeps_the_records_before_it(tmp_path):
     assert zlib.decompress((tmp_path / "a.new.gz").read_bytes()[place:place + size], 31) == record[3]
 
 
+def test_a_fault_of_the_store_is_raised(tmp_path, monkeypatch):
+    body = b"p" * 500
+    (tmp_path / "a.gz").write_bytes(gzip.compress(warc.record(1, "u", body, hashlib.sha1(body).hexdigest(), None, False)))
+
+    class Full:
+        def __enter__(self):
+            return self
+
+        def __exit__(self, *_):
+            return False
+
+        def write(self, _):
+            raise OSError("no space left")
+
+    monkeypatch.setattr(warc.files, "writer", lambda _: Full())
+    with pytest.raises(OSError, match="no space"):
+        warc.normalise(str(tmp_path / "a.gz"), str(tmp_path / "b.gz"), str(tmp_path / "b.idx"))
+
+
+def test_classifier_does_not_depend_on_the_layout(make):
+    rng = random.Random(5)
+    rows = [(i, " ".join(rng.choice(("good", "fine", "#", "bad", "word")) for _ in range(rng.randint(0, 30)))) for i in range(300)]
+    rows += [(7, "a copy")] * 40
+    labels = make([(i, i % 2) for i in range(300)], "doc_id bigint, quality int")
+    weights = [quality.train(make(rows, SCHEMA).repartition(n), labels, fit_rows=50).tobytes() for n in (1, 3, 7)]
+    assert len(set(weights)) == 1
+    own = make(rows, SCHEMA)
+    marked = own.select("text", F.xxhash64("doc_id", "text").alias("m")).collect()
+    marked.sort(key=lambda r: (r.m % 1_000_003, r.m, quality.features(r.text.encode()).tobytes()))
+    want = np.stack([quality.features(r.text.encode()) for r in marked[:50]])
+    assert np.array_equal(quality._chosen(own.repartition(4), "doc_id", "text", 50), want)
+
+
 def test_names_do_not_clash(docs):
     assert unused(docs, "fp", "ROW", "new") == ["fp_", "ROW_", "new"]
 
