@@ -31,14 +31,16 @@ def _spread_by_city(df: DataFrame, order: list[str]) -> DataFrame:
     return df.repartitionByRange("city_code", *order).sortWithinPartitions("city_code", *order)
 
 
-def write_table(df: DataFrame, path: str, order: list[str], mode: str = "errorifexists") -> None:
-    _spread_by_city(df, order).write.mode(mode).partitionBy("city_code").parquet(path)
+def write_table(df: DataFrame, path: str, order: list[str], mode: str = "errorifexists", file_rows: int = 0) -> None:
+    """``file_rows``: rows of a file at most, 0 for any number."""
+    (_spread_by_city(df, order).write.mode(mode).option("maxRecordsPerFile", file_rows)
+     .partitionBy("city_code").parquet(path))
 
 
-def replace_cities(df: DataFrame, path: str, order: list[str], cities: DataFrame | None = None) -> None:
+def replace_cities(df: DataFrame, path: str, order: list[str], cities: DataFrame | None = None, file_rows: int = 0) -> None:
     """Replace the cities in ``df`` and empty those of ``cities`` that have no row in it; all
     other cities stay as they are."""
-    (_spread_by_city(df, order).write.mode("overwrite")
+    (_spread_by_city(df, order).write.mode("overwrite").option("maxRecordsPerFile", file_rows)
      .option("partitionOverwriteMode", "dynamic").partitionBy("city_code").parquet(path))
     if cities is not None:
         empty_cities(cities, df, path)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from meshfold.functions import geometry as g
 from meshfold.functions.ids import dense_ids
-from meshfold.operators import boundary, dedup
+from meshfold.operators import boundary, dedup, layout
 from meshfold.operators.bbox import candidates
 from meshfold.session import cut_lineage
 
@@ -119,6 +119,11 @@ def run(requests: DataFrame, buildings: DataFrame, master: DataFrame | None,
         "request_id", *ATTRIBUTES, "intersects_parent", "representative_point").orderBy("request_id", "osm_id", "id")
 
 
+def run_stored(requests: DataFrame, path: str, master: DataFrame | None, mode: str = "intersects") -> DataFrame:
+    """``run`` over a stored table, of which only the files near the requests are opened, ranked and written."""
+    return run(requests, layout.near(requests, path), master, mode)
+
+
 def with_interior_point(df: DataFrame) -> DataFrame:
     return (
         df.withColumn("_scan", g.scan_line(F.col("rings")))

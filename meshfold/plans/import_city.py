@@ -11,7 +11,7 @@ from meshfold import fixed_values as fv
 from meshfold.functions import geometry as g
 from meshfold.functions import ids, numbers
 from meshfold.functions.text import city_from_directory
-from meshfold.operators import assemble, boundary, maintenance, normalise
+from meshfold.operators import assemble, boundary, layout, maintenance, normalise
 from meshfold.plans import id_ranges
 from meshfold.session import cut_lineage
 
@@ -140,5 +140,5 @@ def store(result: Imported, buildings_path: str, nodes_path: str, cities: DataFr
     nodes = id_ranges.moved(result.nodes, taken, given, "building_id")
     if cities is None:
         cities = result.counts.select(F.col("city").alias("city_code"))
-    maintenance.replace_cities(buildings.drop("numbered_rings", "copies"), buildings_path, ["id"], cities)
+    layout.replace_cities(buildings.drop("numbered_rings", "copies"), buildings_path, cities)
     maintenance.replace_cities(nodes, nodes_path, ["building_id"], cities)

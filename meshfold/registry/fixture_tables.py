@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from meshfold import fixed_values as fv
 from meshfold.functions import geometry as g
 from meshfold.functions import ids, numbers
+from meshfold.operators import layout
 from meshfold.session import new_folder
 
 # Corner factors of the shapes (times the half size), ring 0 and the hole.
@@ -150,6 +151,16 @@ def stored_buildings(spark: SparkSession, sf_dir: str) -> DataFrame:
         ["city_code", "id"], ["city_code"])
 
 
+def clustered_buildings(spark: SparkSession, sf_dir: str) -> str:
+    """Path of the buildings table along its space-filling curve, written once per application."""
+    key = (spark.sparkContext.applicationId, sf_dir, "clustered")
+    if key not in _STORED:
+        path = new_folder(spark, "clustered")
+        layout.write(stored_buildings(spark, sf_dir), path, file_rows=500)
+        _STORED[key] = path
+    return _STORED[key]
+
+
 def stored_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored(spark, sf_dir, "building_nodes", building_nodes,
                   ["city_code", "building_id", "id"], ["city_code"])

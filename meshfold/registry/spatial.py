@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from meshfold.functions import geometry as g
 from meshfold.functions import numbers
-from meshfold.operators import bbox, boundary
+from meshfold.operators import bbox, boundary, layout
 from meshfold.plans import bbox_query
 from meshfold.registry import fixture_sql as fs
 from meshfold.registry import fixture_tables as ft
@@ -425,8 +425,10 @@ def _(spark, sf):
 
 
 def _bbox_rows(spark, sf, mode):
-    rows = bbox_query.run(ft.requests(spark, sf), ft.stored_buildings(spark, sf),
-                          ft.city_master(spark, sf), mode)
+    return _shown(bbox_query.run(ft.requests(spark, sf), ft.stored_buildings(spark, sf), ft.city_master(spark, sf), mode))
+
+
+def _shown(rows):
     return rows.select(
         "request_id", "id", "osm_id", "building", "height", "building_levels", "name", "building_part",
         "parent_building_id", "intersects_parent",
@@ -448,3 +450,27 @@ def _(spark, sf):
 @query("plan_bbox_query_centroid", on_requests(ROWS, FULL.replace("{COND}", CENTRED) + "," + REP))
 def _(spark, sf):
     return _bbox_rows(spark, sf, "centroid")
+
+
+@query("plan_bbox_query_stored", on_requests(ROWS, FULL.replace("{COND}", MEETS) + "," + REP))
+def _(spark, sf):
+    return _shown(bbox_query.run_stored(
+        ft.requests(spark, sf), ft.clustered_buildings(spark, sf), ft.city_master(spark, sf)))
+
+
+# One request of its own, as the service gets them: a box in the middle of the map and its first 50 outlines.
+ONE_BOX = (0, 1393600000, 359300000, 1394300000, 360100000, 50)
+ONE = dict(zip(("west", "south", "east", "north"), ONE_BOX[1:]))
+
+
+def _one_box(spark):
+    return spark.createDataFrame([ONE_BOX], "request_id bigint, west bigint, south bigint, east bigint, north bigint, row_limit int")
+
+
+@query("src_09_one_box_scan", fs.on_shapes(f"""SELECT id, city_code, building, height FROM s
+WHERE min_lon <= {ONE["east"]} AND max_lon >= {ONE["west"]} AND min_lat <= {ONE["north"]} AND max_lat >= {ONE["south"]}"""))
+def _(spark, sf):
+    near = layout.near(_one_box(spark), ft.clustered_buildings(spark, sf))
+    return near.filter((F.col("min_lon") <= ONE["east"]) & (F.col("max_lon") >= ONE["west"])
+                       & (F.col("min_lat") <= ONE["north"]) & (F.col("max_lat") >= ONE["south"])).select(
+        "id", "city_code", "building", "height")
