@@ -468,9 +468,10 @@ def _one_box(spark):
 
 
 @query("src_09_one_box_scan", fs.on_shapes(f"""SELECT id, city_code, building, height FROM s
-WHERE min_lon <= {ONE["east"]} AND max_lon >= {ONE["west"]} AND min_lat <= {ONE["north"]} AND max_lat >= {ONE["south"]}"""))
+WHERE (building_part IS NULL OR parent_building_id IS NULL) AND min_lon <= {ONE["east"]} AND max_lon >= {ONE["west"]} AND min_lat <= {ONE["north"]} AND max_lat >= {ONE["south"]}"""))
 def _(spark, sf):
     near = layout.near(_one_box(spark), ft.clustered_buildings(spark, sf))
-    return near.filter((F.col("min_lon") <= ONE["east"]) & (F.col("max_lon") >= ONE["west"])
+    standing = near.filter("building_part is null or parent_building_id is null")
+    return standing.filter((F.col("min_lon") <= ONE["east"]) & (F.col("max_lon") >= ONE["west"])
                        & (F.col("min_lat") <= ONE["north"]) & (F.col("max_lat") >= ONE["south"])).select(
         "id", "city_code", "building", "height")
