@@ -538,6 +538,23 @@ def test_cascade_is_exact(make, bound):
     assert urlfilter.is_listed(frame.limit(0), "key", listed).count() == 0
 
 
+def test_long_lists_take_shards_of_bounded_filters(make):
+    """No filter outgrows the bound by much, a key of most rows is spread over tasks, and answers stay exact."""
+    rows = [(i, f"key{i % 5000}" if i % 3 else "key7", None) for i in range(12_000)]
+    frame = make(rows, "page_id bigint, key string, shard string").repartition(16)
+    names = {f"key{i}" for i in range(0, 5000, 3)} | {"key7"}
+    universe = frame.select("key").distinct().withColumn("listed", F.col("key").isin(names))
+    for bound in (64, 300, 16 << 20):
+        levels, shards = urlfilter.cascade(universe, bound)
+        assert (shards > 4) == (bound <= 300)
+        sizes = [sum(len(x.bits(s)) for x in levels) for s in range(shards)]
+        assert max(sizes) <= 4 * bound + 8 * len(levels)
+        got = urlfilter.is_listed(frame, "key", make([(n,) for n in names], "key string"), max_bytes=bound)
+        assert Counter((r.page_id, r.listed) for r in got.collect()) == Counter((i, k in names) for i, k, _ in rows)
+    plan = urlfilter.is_listed(frame, "key", make([("key7",)], "key string"))._jdf.queryExecution().toString()
+    assert "Join" not in plan
+
+
 def test_archives_come_back_and_copies_are_revisits(spark, make):
     big = "<p>é</p>\r\n\r\nWARC/1.1\r\n" * 100
     rows = [(1, "http://a/", big), (2, "http://b c/\n", big), (3, None, None), (4, "u", ""), (5, "u", "small"), (6, "u", "small"),
