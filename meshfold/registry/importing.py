@@ -180,10 +180,11 @@ def _(spark, sf):
 
 @query("flt_02_tag_map", raw("""
 SELECT fk AS file_key, '-' || (j + 1) AS id, CASE WHEN kase IN (3, 8, 13) THEN NULL WHEN kase = 4 THEN 'no'
-  WHEN k % 13 = 0 THEN 'house' ELSE 'yes' END AS building, kase = 13 OR kase = 3 AS has_part FROM base"""))
+  WHEN k % 13 = 0 THEN 'house' ELSE 'yes' END AS building, kase = 13 OR kase = 3 AS has_part FROM base
+UNION ALL SELECT fk, '-' || (j + 500000001), NULL, true FROM base WHERE shape = 2
+UNION ALL SELECT fk, '-' || (j + 600000001), NULL, true FROM base WHERE shape = 2 AND variant = 1"""))
 def _(spark, sf):
-    ways = elements(spark, sf)["ways"].filter(F.length("id") < 9).withColumn(
-        "t", assemble.tag_map(F.col("tags")))
+    ways = elements(spark, sf)["ways"].withColumn("t", assemble.tag_map(F.col("tags")))
     return ways.select("file_key", "id", F.col("t")["building"].alias("building"),
                        F.col("t")["building:part"].isNotNull().alias("has_part"))
 
@@ -566,12 +567,21 @@ def _(spark, sf):
     return candidates.join(stored).join(stages).withColumn("reconciled", total == F.col("candidates"))
 
 
-@query("qa_13_identity_tag_loss", raw("""
-SELECT city, mesh, k % 30 AS kase, 'b' || k AS value FROM base WHERE k % 8 = 1 AND (kase IN (1, 8)
- OR (shape = 2 AND variant NOT IN (3, 4)))""").replace("SELECT city, mesh, k % 30 AS kase,", "SELECT fk AS file_key, 'name:ja' AS key,"))
+WAY_TAGS = """(SELECT fk AS file_key, kase IN (1, 8) OR (shape = 2 AND variant NOT IN (3, 4)) AS dropped,
+ unnest(['name', 'name:ja', 'addr:street', 'addr:housenumber', 'amenity']) AS key,
+ unnest([CASE WHEN k % 8 = 0 THEN repeat('n', 120) END, CASE WHEN k % 8 = 1 THEN 'b' || k END,
+   CASE WHEN k % 10 = 0 THEN 's' || (k % 30) END, CASE WHEN k % 5 = 0 THEN CAST(k % 90 AS VARCHAR) END,
+   CASE WHEN k % 14 = 0 THEN 'school' END]) AS value FROM base)"""
+
+
+@query("qa_13_identity_tag_loss", raw(f"""
+SELECT file_key, key, value FROM {WAY_TAGS} WHERE dropped AND value IS NOT NULL
+EXCEPT SELECT file_key, key, value FROM {WAY_TAGS} WHERE NOT dropped"""))
 def _(spark, sf):
     el = elements(spark, sf)
     from meshfold.operators import quality
 
-    kept = assemble.building_ways(el["ways"], assemble.building_relations(el["relations"]))
-    return quality.lost_identity_tags(el["ways"], kept, ("name:ja",))
+    relations = assemble.building_relations(el["relations"])
+    ways = assemble.building_ways(el["ways"], relations)
+    kept = ways.select("file_key", "id", "tags").unionByName(relations.select("file_key", "id", "tags"))
+    return quality.lost_identity_tags(el["ways"], kept)

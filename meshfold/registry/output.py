@@ -664,11 +664,12 @@ def _(spark, sf):
 
 
 @query("qa_09_elongation", fs.on_shapes(f"""
-SELECT id, round({AREA}, 4) AS area, round(h * 4.0 * (1 + cos(cen_lat / 1e7 * (pi() / 180))) * (111320.0 / 1e7)
-  / sqrt({AREA}), 4) AS elongation FROM s WHERE shape > 4 AND {AREA} < 60 AND {AREA} > 0"""))
+SELECT id, round(area, 4) AS area, round(length / sqrt(area), 4) AS elongation FROM (
+ SELECT id, {AREA} AS area, sum(sqrt(((x2 - x1) * cos(cen_lat / 1e7 * (pi() / 180))) ** 2 + (y2 - y1) ** 2))
+   * (111320.0 / 1e7) AS length FROM s JOIN edge USING (k) WHERE ring = 0 GROUP BY id, area2, cen_lat)
+WHERE area < 60 AND area > 0"""))
 def _(spark, sf):
-    rows = ft.stored_buildings(spark, sf).filter((F.size("rings") == 1) & (F.size(F.col("rings")[0]) == 4))
-    return quality.elongation(rows, 60.0).select(
+    return quality.elongation(ft.stored_buildings(spark, sf), 60.0).select(
         "id", F.round("area", 4).alias("area"), F.round("elongation", 4).alias("elongation"))
 
 
