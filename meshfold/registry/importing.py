@@ -527,12 +527,24 @@ def _(spark, sf):
 
 
 @query("snk_06_skip_report", raw("""
-SELECT reason, city, '-' || (j + 1) AS way_id, CAST(n_coords AS INTEGER) AS n_coords,
- CAST(least(5, n_coords) AS INTEGER) AS shown FROM judged WHERE reason IS NOT NULL AND is_mp = 0"""))
+SELECT reason, city, '-' || (j + 1) AS way_id, mesh || '_bldg_6697_op.osm' AS file_name, CAST(n_coords AS INTEGER) AS n_coords,
+ CASE WHEN n_coords = 4 THEN round(abs((c[1].x*(c[2].y-c[3].y) + c[2].x*(c[3].y-c[1].y) + c[3].x*(c[1].y-c[2].y))/2)
+   * 111320.0 * (111320.0 * cos((c[1].y+c[2].y+c[3].y)/3*pi()/180)), 4) END AS area_m2,
+ array_to_string([CAST(CAST(round(v.x * 1e7) AS BIGINT) AS VARCHAR) || ' ' || CAST(CAST(round(v.y * 1e7) AS BIGINT) AS VARCHAR)
+   for v in list_concat(c, [c[1]])[1:5]], ';') AS corners,
+ CASE WHEN kase IN (3, 13) THEN NULL WHEN kase = 4 THEN 'no' WHEN k % 13 = 0 THEN 'house' ELSE 'yes' END AS building,
+ CASE k % 10 WHEN 0 THEN '3d' WHEN 1 THEN '1_0' WHEN 2 THEN 'inf' WHEN 3 THEN '0.4' WHEN 4 THEN ' 12.5 ' WHEN 5 THEN '300'
+   WHEN 6 THEN NULL ELSE CAST(3 + p % 40 AS VARCHAR) END AS height,
+ CASE WHEN k % 8 = 0 THEN repeat('n', 120) END AS name
+FROM judged WHERE reason IS NOT NULL AND is_mp = 0"""))
 def _(spark, sf):
     report = import_city.reject_report(first_judged(spark, sf))
     back = maintenance.written_json(report, "skipped", "reason")
-    return back.select("reason", "city", "way_id", "n_coords", F.size("coords").alias("shown"))
+    corner = lambda v: F.concat_ws(" ", *[F.round(v[c] * 1e7).cast("bigint") for c in ("lon", "lat")])
+    return back.select(
+        "reason", "city", "way_id", "file_name", "n_coords", F.round("area_m2", 4).alias("area_m2"),
+        F.concat_ws(";", F.transform("coords", corner)).alias("corners"),
+        *[F.col("tags")[t].alias(t) for t in ("building", "height", "name")])
 
 
 # Invalid shapes: an L without its first corner touches itself, a holed square
