@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from meshfold import fixed_values as fv
 from meshfold.functions import geometry as g
 from meshfold.functions import ids, numbers, text
-from meshfold.operators import bbox, coverage, elements, maintenance, quality
+from meshfold.operators import bbox, coverage, elements, layout, maintenance, quality
 from meshfold.plans import bbox_query
 from meshfold.registry import fixture_sql as fs
 from meshfold.registry import fixture_tables as ft
@@ -462,15 +462,21 @@ def _copies(spark, sf, rows=None):
 
 
 @query("snk_03_replace_by_city", fs.on_buildings("""
-SELECT city_code, count(*) AS buildings, count(*) FILTER (WHERE city_code = '13106') AS replaced FROM b
+SELECT city_code, count(*) AS buildings, count(*) FILTER (WHERE city_code = '13106') AS replaced,
+ CAST(sum(corners) AS BIGINT) AS corners, CAST(sum(sx) AS BIGINT) AS sum_lon, CAST(sum(sy) AS BIGINT) AS sum_lat FROM b
+ LEFT JOIN (SELECT k, count(*) AS corners, sum(vx) AS sx, sum(vy) AS sy FROM vert WHERE k % 997 <> 5 GROUP BY k) USING (k)
  WHERE city_code <> '13106' OR id % 3 = 0 GROUP BY 1"""))
 def _(spark, sf):
-    path, _ = _copies(spark, sf)
-    new = ft.stored_buildings(spark, sf).drop("rings").filter("city_code = '13106' and id % 3 = 0").withColumn(
-        "building", F.lit("replaced"))
-    maintenance.replace_cities(new, path, ["id"])
-    return spark.read.parquet(path).groupBy("city_code").agg(
-        F.count("*").alias("buildings"), F.count_if(F.col("building") == "replaced").alias("replaced"))
+    path, whole = new_folder(spark, "b"), ft.stored_buildings(spark, sf)
+    layout.write(whole, path)
+    new = whole.filter("city_code = '13106' and id % 3 = 0").withColumn("building", F.lit("replaced"))
+    layout.replace_cities(new, path, new.select("city_code"))
+    corners, zero = F.flatten("rings"), F.lit(0).cast("bigint")
+    return spark.read.parquet(path).withColumn("_c", corners).groupBy("city_code").agg(
+        F.count("*").alias("buildings"), F.count_if(F.col("building") == "replaced").alias("replaced"),
+        F.sum(F.when(F.col("_c").isNotNull(), F.size("_c"))).alias("corners"),
+        F.sum(F.aggregate("_c", zero, lambda a, v: a + v["lon_i"])).alias("sum_lon"),
+        F.sum(F.aggregate("_c", zero, lambda a, v: a + v["lat_i"])).alias("sum_lat"))
 
 
 @query("snk_15_purge_city", fs.on_nodes("""
@@ -505,8 +511,10 @@ def _(spark, sf):
     rows = ft.stored_buildings(spark, sf).groupBy("city_code").agg(F.count("*").alias("bytes"))
     plans.write_plan(rows.select("city_code", F.lit("p").alias("package"), F.lit(2024).alias("year"),
                                  F.lit(1).alias("citygml_v"), "bytes", F.lit("u").alias("url")), path)
-    back = plans.read_plan(spark, path)
-    return ids.dense_ids(back.select("city_code"), ["city_code"], 1, "line_no")
+    # Numbered by file and place in it, as they were written.
+    back = plans.read_plan(spark, path).select("city_code", F.col("_metadata.file_name").alias("_file")).withColumn(
+        "_at", F.monotonically_increasing_id())
+    return ids.dense_ids(back, ["_file", "_at"], 1, "line_no").drop("_file", "_at")
 
 
 @query("snk_12_schema_evolution", fs.on_nodes("""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from meshfold.functions import geometry as g
@@ -475,3 +476,14 @@ def _(spark, sf):
     return standing.filter((F.col("min_lon") <= ONE["east"]) & (F.col("max_lon") >= ONE["west"])
                        & (F.col("min_lat") <= ONE["north"]) & (F.col("max_lat") >= ONE["south"])).select(
         "id", "city_code", "building", "height")
+
+
+@query("srt_02_plan_order", on_requests("""SELECT request_id, id,
+ CAST(row_number() OVER (PARTITION BY request_id ORDER BY id) AS INTEGER) AS place FROM res""", FULL.replace("{COND}", CENTRED)))
+def _(spark, sf):
+    """Places as the plan gives its rows out: the number is that of the row's arrival, not of its ``osm_id``."""
+    rows = bbox_query.run_stored(ft.requests(spark, sf), ft.clustered_buildings(spark, sf), ft.city_master(spark, sf),
+                                 "centroid").select("request_id", "id")
+    arrived = rows.withColumn("_at", F.monotonically_increasing_id())
+    return arrived.select("request_id", "id", F.row_number().over(
+        Window.partitionBy("request_id").orderBy("_at")).alias("place"))
