@@ -105,6 +105,16 @@ def test_box_pairs_against_brute_force(make):
     assert cover.box_pairs(make([], REQ), table).count() == 0
 
 
+def test_requests_in_cells_are_never_broadcast(spark):
+    """A request is up to 200 rows of cells and slices, which the size estimate of its table does not hold."""
+    at = lambda **sides: [F.lit(v).cast("bigint").alias(c) for c, v in sides.items()]
+    boxes = spark.range(1).select("id", *at(min_lon=X, min_lat=Y, max_lon=X + 900, max_lat=Y + 900))
+    requests = spark.range(3).select(F.col("id").alias("request_id"), *at(west=X, south=Y, east=X + 500000, north=Y + 500000))
+    pairs = bbox.grid_pairs(requests, boxes)
+    assert "BroadcastExchange" not in pairs._jdf.queryExecution().executedPlan().toString()
+    assert pairs.count() == cover.box_pairs(requests, boxes).count() == 3
+
+
 def test_a_country_wide_request_is_dealt_by_rows(spark):
     """Half of all boxes in one cell, the rest in towns: no task gets over twice the median of rows."""
     spot = F.when(F.col("id") % 2 == 0, 0).otherwise(F.xxhash64("id") % 2000000)
