@@ -1,17 +1,16 @@
-"""One document of each group of near copies: SimHash fingerprints in binary tries, then the texts.
+"""One document of each group of near copies: SimHash fingerprints in binary tries, then all pairs by prefixes.
 
-Near copies share at least ``similarity`` of their distinct ``shingle``-word shingles. Their 64-bit fingerprints differ
-in a few bits, so candidates are pairs of at most ``budget`` differing bits. Each of several
+Near copies share at least ``similarity`` of their distinct ``shingle``-word shingles. The work is done in two rounds. First,
+dense groups are joined by their 64-bit fingerprints, which differ in a few bits: each of a few
 orders of the bits makes a binary trie; fingerprints that agree on the first ``k`` bits of an
 order form a subtree, which is joined with itself under the bit budget. ``k`` grows with the logarithm
-of the number of fingerprints, which keeps subtrees small, and the number of orders is what finds a pair
-of ``budget`` bits with probability ``recall`` (nearer pairs are found more surely). A crowded subtree is
-read on to as many bits more as it is too large, and dealt into slices where it still is.
-
-A subtree returns a few edge-disjoint shortest spanning forests, never all pairs, so that all orders together
-give a fingerprint some ``tested`` partners where it has that many, and all its partners where it has few. The shingles of
-both ends of a link are compared, and components are formed of the links that hold: first the links of a
-few orders, which already join dense groups, then those of the rest whose ends are still apart.
+of the number of fingerprints, which keeps subtrees small. A crowded subtree is
+read on to as many bits more as it is too large, and dealt into slices where it still is. A subtree
+returns a shortest spanning forest, never all pairs; the shingles of both ends of a link are compared.
+
+Then no pair is left out: of two texts that are alike and still in different groups, the first shingles in one order of
+all shingles have one in common (prefix filter). Shingles that many texts share come last in that order. Lengths and
+sketches, which bound the difference from below, take out most of the rest before shingles are compared.
 """
 
 from __future__ import annotations
@@ -32,8 +31,16 @@ from meshfold.llm.simhash import BITS, fingerprint, trie_pairs
 def shingles(text: bytes | None, size: int) -> np.ndarray:
     """Sorted distinct hashes of the runs of ``size`` words; a text of fewer words is one run."""
     words = (text or b"").lower().split()
-    runs = range(max(1, len(words) - size + 1)) if words else ()
-    return np.unique(np.array([xxhash.xxh64_intdigest(b" ".join(words[i:i + size]), 42) for i in runs], np.uint64))
+    if not words:
+        return np.zeros(0, np.uint64)
+    if len(words) < size:
+        return np.array([xxhash.xxh64_intdigest(b" ".join(words), 42)], np.uint64)
+    each = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+    runs = np.zeros(len(words) - size + 1, np.uint64)
+    for i in range(size):  # a polynomial of the words' hashes, then mixed, since prefixes go by this order
+        runs = runs * np.uint64(0x9E3779B97F4A7C15) + each[i:i + len(runs)]
+    runs = (runs ^ (runs >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return np.unique(runs ^ (runs >> np.uint64(29)))
 
 
 def same_bits(k: int, budget: int) -> float:
@@ -82,6 +89,7 @@ def forest(n: int, a: np.ndarray, b: np.ndarray, weight: np.ndarray) -> np.ndarr
 
 
 EARLY = 8  # orders whose links are looked at first
+SKETCH = 512  # classes of shingles, a power of two
 
 
 def links(prints: DataFrame, budget: int, recall: float = 0.95, unit: int = 64, crowded: int = 1024,
@@ -207,6 +215,13 @@ def _sets(ends: DataFrame, texts: DataFrame, size: int) -> DataFrame:
     return store(chosen.mapInArrow(cut, "row long, s binary"), "shingles")
 
 
+def _held(pairs: DataFrame, texts: DataFrame, size: int, similarity: float) -> DataFrame:
+    """The ``pairs(a, b)`` whose texts are alike."""
+    pairs = store(pairs, "candidates")
+    sets = _sets(pairs.select(F.explode(F.array("a", "b")).alias("row")), texts, size)
+    return store(_similar(pairs, sets, similarity), "links")
+
+
 def _similar(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """The ``pairs(a, b)`` of rows whose shingles are alike."""
     def compare(batches):
@@ -223,14 +238,82 @@ def _similar(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").select("a", "b", "s", "t").mapInArrow(compare, "a long, b long")
 
 
+def prefix(s: np.ndarray, common: np.ndarray, similarity: float) -> np.ndarray:
+    """The first shingles of ``s`` in the order "not in ``common``, then by hash". Two sets that are alike share at
+    least ``similarity`` of the larger one, so their prefixes of all but that many and one more share a shingle."""
+    if not len(s):
+        return s
+    late = np.isin(s, common)
+    return np.concatenate([s[~late], s[late]])[:len(s) - ceil(similarity * len(s) - 1e-9) + 1]
+
+
+def sketch(s: np.ndarray) -> bytes:
+    """Whether an odd number of shingles falls into each of SKETCH classes: a shingle that only one of two
+    sets has changes one bit, so sets differ in at least as many shingles as their sketches in bits."""
+    return np.packbits(np.bincount((s & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH).astype(np.uint8) & 1).tobytes()
+
+
+def _common(texts: DataFrame, size: int, similarity: float) -> np.ndarray:
+    """Sorted shingles that very many texts begin with, counted on one text in eight. Only the order
+    of shingles, and so the work, depends on them, never the result."""
+    def run(batches):
+        for batch in batches:
+            for t in batch.column(0).cast(pa.binary()).to_pylist():
+                found = prefix(shingles(t, size), np.zeros(0, np.uint64), similarity)
+                yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64))], ["x"])
+
+    tokens = texts.where("pmod(xxhash64(row), 8) = 0").select("text").mapInArrow(run, "x long")
+    often = tokens.groupBy("x").count().where("count >= 16").orderBy(F.desc("count"), "x").limit(100_000)
+    return np.sort(np.array([r.x for r in often.collect()], np.int64).view(np.uint64))
+
+
+def rest_pairs(texts: DataFrame, labels: DataFrame, size: int, similarity: float) -> DataFrame:
+    """(a, b), a < b: a superset of all pairs of rows that are alike and have different labels; of
+    ``texts(row, text)`` those in ``labels(row, label)``, one row of each distinct text."""
+    common = _common(texts, size, similarity)
+
+    def cut(batches):
+        for batch in batches:
+            sets = [shingles(t, size) for t in batch.column(1).cast(pa.binary()).to_pylist()]
+            yield pa.RecordBatch.from_arrays([
+                batch.column(0), pa.array([len(s) for s in sets], pa.int64()),
+                pa.array([sketch(s) for s in sets], pa.binary()),
+                pa.array([prefix(s, common, similarity).view(np.int64) for s in sets], pa.list_(pa.int64()))],
+                ["row", "n", "sketch", "first"])
+
+    cuts = texts.select("row", "text").mapInArrow(cut, "row long, n long, sketch binary, first array<long>")
+    cuts = store(cuts.join(labels, "row"), "prefixes")
+    tokens = cuts.select("row", "n", "label", F.explode("first").alias("x"))
+    shared = tokens.groupBy("x").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    shared = store(shared.where("low < high").select("x"), "shared")
+    few = store(tokens.join(shared, "x", "left_semi"), "members")
+    other = few.select("x", F.col("row").alias("b"), F.col("n").alias("m"), F.col("label").alias("other"))
+    pairs = few.join(other.hint("merge"), "x").where(
+        (F.col("row") < F.col("b")) & (F.col("label") != F.col("other"))
+        & (F.least("n", "m") >= F.greatest("n", "m") * (similarity - 1e-9))).select(F.col("row").alias("a"), "b").distinct()
+
+    def near(batches):
+        for batch in batches:
+            left, right = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(-1, SKETCH // 64)
+                           for c in ("s", "t"))
+            apart = np.bitwise_count(left ^ right).sum(axis=1, dtype=np.int64)
+            sizes = batch.column("n").to_numpy() + batch.column("m").to_numpy()
+            yield batch.select(["a", "b"]).filter(pa.array(apart <= (1 - similarity) / (1 + similarity) * sizes + 1e-6))
+
+    one = cuts.select(F.col("row").alias("a"), "n", F.col("sketch").alias("s"))
+    two = cuts.select(F.col("row").alias("b"), F.col("n").alias("m"), F.col("sketch").alias("t"))
+    return pairs.join(one, "a").join(two, "b").select("a", "b", "n", "m", "s", "t").mapInArrow(near, "a long, b long")
+
+
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 5, similarity: float = 0.8,
-             budget: int = 14, recall: float = 0.95) -> DataFrame:
+             budget: int = 14, recall: float = 0.2) -> DataFrame:
     """``docs`` with one document of each group of near copies: the one of the smallest id, of
     repeated rows the first; null ids rank behind all ids.
 
     Texts of equal words (A-Z lower-cased, between ASCII white space) are copies, so null, empty and blank
-    texts are one group. Others are linked where their shingles' Jaccard similarity is ``similarity`` or more and
-    their fingerprints are candidates; a chain of links is one group. An empty table gives an empty one.
+    texts are one group. Others are linked where their shingles' Jaccard similarity is ``similarity`` or more, every such
+    pair; a chain of links is one group. Fingerprints of at most ``budget`` differing bits, found with probability
+    ``recall``, only join dense groups early. An empty table gives an empty one.
     """
     row, fp, mark = unused(docs, "row", "fp", "mark")
     numbered = store(_read_texts(docs.withColumn(row, F.monotonically_increasing_id()), text, fp, mark, shingle), "fingerprints")
@@ -238,19 +321,16 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingl
     nodes = store(numbered.groupBy(F.col(fp).alias("fp"), F.col(mark).alias("mark")).agg(F.min(order).alias("best")), "nodes")
     head = F.min(F.struct("mark", F.col("best.row").alias("row")))
     heads = store(nodes.groupBy("fp").agg(head.alias("head")).select("fp", F.col("head.row").alias("row")), "heads")
-    across = links(heads, budget, recall)
+    across = links(heads, budget, recall, tested=1)
     one, two = heads.select(F.col("fp").alias("a"), F.col("row").alias("ra")), heads.select(F.col("fp").alias("b"), F.col("row").alias("rb"))
-    pairs = across.join(one, "a").join(two, "b").select(F.col("ra").alias("a"), F.col("rb").alias("b"), "late")
+    pairs = across.join(one, "a").join(two, "b").select(F.col("ra").alias("a"), F.col("rb").alias("b"))
     alike = nodes.select("fp", F.col("best.row").alias("a")).join(heads, "fp").where("a <> row").select("a", F.col("row").alias("b"))
-    pairs = store(pairs.unionByName(alike.withColumn("late", F.lit(False))), "candidates")
     texts = numbered.select(F.col(row).alias("row"), F.col(text).alias("text"))
-    sets = _sets(pairs.select(F.explode(F.array("a", "b")).alias("row")), texts, shingle)
-    held = store(_similar(pairs.where("not late"), sets, similarity), "links")
+    held = _held(pairs.unionByName(alike), texts, shingle, similarity)
     grouped = store(components(held), "groups")
-    root = lambda end: grouped.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}"))
-    apart = pairs.where("late").join(root("a"), "a", "left").join(root("b"), "b", "left").where(
-        "coalesce(root_a, a) <> coalesce(root_b, b)").select("a", "b")
-    more = store(_similar(apart, sets, similarity), "links")
+    labels = nodes.select(F.col("best.row").alias("row")).join(grouped.withColumnRenamed("node", "row"), "row", "left").select(
+        "row", F.coalesce("root", "row").alias("label"))
+    more = _held(rest_pairs(texts, store(labels, "labels"), shingle, similarity), texts, shingle, similarity)
     if not more.isEmpty():
         grouped = components(held.unionByName(more))
     member = nodes.select("best", F.col("best.row").alias("node")).join(grouped, "node", "left")

@@ -108,6 +108,36 @@ def test_a_dense_group_of_near_copies_leaves_one(make):
     assert sum(r.doc_id < 500 for r in kept) == 1
 
 
+def test_every_link_counts(make):
+    """Families at the bound, where a group hangs on few links, and distant pairs: the groups are those of all pairs."""
+    rng = random.Random(8)
+    base = [f"w{rng.randrange(5000)}" for _ in range(300)]
+    texts = [" ".join(edited(rng, base, rng.choice([3, 4, 5, 6]))) for _ in range(150)]
+    for words in range(20, 200, 3):
+        pair = [rng.choice(base) + str(rng.randrange(90)) for _ in range(words)]
+        texts += [" ".join(pair), " ".join(pair + [f"x{i}" for i in range(max(1, (words - 4) // 4))])]  # 0.8 where it divides
+    sets = [set(zip(*(t.split()[i:] for i in range(5)))) for t in texts]
+    near = [(i, j) for i, s in enumerate(sets) for j in range(i) if len(s & sets[j]) >= 0.8 * len(s | sets[j])]
+    label = reached(len(texts), near)
+    first = {g: i for i, g in reversed(list(enumerate(label)))}
+    kept = nearcopies.keep_one(make(list(enumerate(texts)), SCHEMA).repartition(3)).collect()
+    assert {r.doc_id for r in kept} == set(first.values())
+
+
+def test_sketches_and_prefixes_never_lose_a_pair():
+    rng = np.random.default_rng(4)
+    common = np.sort(rng.integers(0, 2 ** 64, 300, np.uint64))
+    for _ in range(300):
+        n = int(rng.integers(1, 400))
+        both = np.concatenate([rng.integers(0, 2 ** 64, n, np.uint64), rng.choice(common, n // 4, replace=False) if n // 4 <= 300 else common])
+        own = rng.integers(0, 2 ** 64, len(both) // 4, np.uint64)
+        cut = int(rng.integers(0, len(own) + 1))
+        s, t = np.unique(np.concatenate([both, own[:cut]])), np.unique(np.concatenate([both, own[cut:]]))
+        assert set(nearcopies.prefix(s, common, 0.8)) & set(nearcopies.prefix(t, common, 0.8))
+        bits = [np.unpackbits(np.frombuffer(nearcopies.sketch(x), np.uint8)) for x in (s, t)]
+        assert (bits[0] != bits[1]).sum() <= len(np.setxor1d(s, t))
+
+
 def test_recall_on_the_documents(spark, make):
     """Of the documents that have a near copy of a smaller id, at least nine tenths go."""
     docs = table(spark, "/root/testdata/sf0.01", "documents")
