@@ -263,7 +263,7 @@ def _common(texts: DataFrame, size: int, similarity: float) -> np.ndarray:
                 yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64))], ["x"])
 
     tokens = texts.where("pmod(xxhash64(row), 8) = 0").select("text").mapInArrow(run, "x long")
-    often = tokens.groupBy("x").count().where("count >= 16").orderBy(F.desc("count"), "x").limit(100_000)
+    often = tokens.groupBy("x").count().where("count >= 4").orderBy(F.desc("count"), "x").limit(100_000)
     return np.sort(np.array([r.x for r in often.collect()], np.int64).view(np.uint64))
 
 
@@ -275,34 +275,26 @@ def rest_pairs(texts: DataFrame, labels: DataFrame, size: int, similarity: float
     def cut(batches):
         for batch in batches:
             sets = [shingles(t, size) for t in batch.column(1).cast(pa.binary()).to_pylist()]
+            bits = np.frombuffer(b"".join(map(sketch, sets)), np.int64).reshape(-1, len(words))
             yield pa.RecordBatch.from_arrays([
-                batch.column(0), pa.array([len(s) for s in sets], pa.int64()),
-                pa.array([sketch(s) for s in sets], pa.binary()),
+                batch.column(0), pa.array([len(s) for s in sets], pa.int64()), *[pa.array(c) for c in bits.T.copy()],
                 pa.array([prefix(s, common, similarity).view(np.int64) for s in sets], pa.list_(pa.int64()))],
-                ["row", "n", "sketch", "first"])
+                ["row", "n", *words, "first"])
 
-    cuts = texts.select("row", "text").mapInArrow(cut, "row long, n long, sketch binary, first array<long>")
-    cuts = store(cuts.join(labels, "row"), "prefixes")
-    tokens = cuts.select("row", "n", "label", F.explode("first").alias("x"))
+    words = [f"s{i}" for i in range(SKETCH // 64)]
+    schema = ", ".join(f"{c} long" for c in ["row", "n", *words])
+    cuts = store(texts.select("row", "text").mapInArrow(cut, schema + ", first array<long>").join(labels, "row"), "prefixes")
+    tokens = cuts.select(F.explode("first").alias("x"), "row", "n", "label", *words)
     shared = tokens.groupBy("x").agg(F.min("label").alias("low"), F.max("label").alias("high"))
     shared = store(shared.where("low < high").select("x"), "shared")
-    few = store(tokens.join(shared, "x", "left_semi"), "members")
-    other = few.select("x", F.col("row").alias("b"), F.col("n").alias("m"), F.col("label").alias("other"))
-    pairs = few.join(other.hint("merge"), "x").where(
-        (F.col("row") < F.col("b")) & (F.col("label") != F.col("other"))
-        & (F.least("n", "m") >= F.greatest("n", "m") * (similarity - 1e-9))).select(F.col("row").alias("a"), "b").distinct()
-
-    def near(batches):
-        for batch in batches:
-            left, right = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(-1, SKETCH // 64)
-                           for c in ("s", "t"))
-            apart = np.bitwise_count(left ^ right).sum(axis=1, dtype=np.int64)
-            sizes = batch.column("n").to_numpy() + batch.column("m").to_numpy()
-            yield batch.select(["a", "b"]).filter(pa.array(apart <= (1 - similarity) / (1 + similarity) * sizes + 1e-6))
-
-    one = cuts.select(F.col("row").alias("a"), "n", F.col("sketch").alias("s"))
-    two = cuts.select(F.col("row").alias("b"), F.col("n").alias("m"), F.col("sketch").alias("t"))
-    return pairs.join(one, "a").join(two, "b").select("a", "b", "n", "m", "s", "t").mapInArrow(near, "a long, b long")
+    few = store(tokens.join(shared, "x", "left_semi"), "members").repartition("x")  # one shuffle for both sides
+    other = few.select("x", *[F.col(c).alias(f"{c}_") for c in ["row", "n", "label", *words]])
+    apart = sum((F.bit_count(F.col(c).bitwiseXOR(F.col(f"{c}_"))) for c in words), F.lit(0))
+    return few.hint("merge").join(other, "x").where(
+        (F.col("row") < F.col("row_")) & (F.col("label") != F.col("label_"))
+        & (F.least("n", "n_") >= F.greatest("n", "n_") * (similarity - 1e-9))
+        & (apart <= (F.col("n") + F.col("n_")) * ((1 - similarity) / (1 + similarity)) + 1e-6)).select(
+            F.col("row").alias("a"), F.col("row_").alias("b")).distinct()
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 5, similarity: float = 0.8,
