@@ -20,7 +20,7 @@ from math import ceil, log, log2
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from meshfold.llm.common import store, unused
@@ -204,46 +204,76 @@ def _read_texts(docs: DataFrame, text: str, fp: str, mark: str, size: int) -> Da
     return docs.mapInArrow(run, ", ".join([*(f"`{c}` {t}" for c, t in docs.dtypes), f"`{fp}` bigint", f"`{mark}` bigint"]))
 
 
-def _sets(ends: DataFrame, texts: DataFrame, size: int) -> DataFrame:
-    """row and s, the shingles of its text, of the rows in ``ends(row)``; ``texts(row, text)``."""
+def _rows(ends: DataFrame, texts: DataFrame, size: int, column: str, value) -> DataFrame:
+    """row and ``value`` of the shingles of its text, as bytes, of the rows in ``ends(row)``; ``texts(row, text)``."""
     def cut(batches):
         for batch in batches:
-            found = [shingles(t, size).tobytes() for t in batch.column(1).cast(pa.binary()).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["row", "s"])
+            found = [value(shingles(t, size)) for t in batch.column(1).cast(pa.binary()).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["row", column])
 
     chosen = texts.join(ends.distinct(), "row", "left_semi").select("row", "text")
-    return store(chosen.mapInArrow(cut, "row long, s binary"), "shingles")
+    return store(chosen.mapInArrow(cut, f"row long, {column} binary"), "shingles")
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("row"))
 
 
 def _held(pairs: DataFrame, texts: DataFrame, size: int, similarity: float) -> DataFrame:
-    """The ``pairs(a, b)`` whose texts are alike."""
+    """The ``pairs(a, b)`` whose texts are alike. Long sketches, a small part of the shingles' size, go first: only
+    pairs that they leave have their shingles sent."""
     pairs = store(pairs, "candidates")
-    sets = _sets(pairs.select(F.explode(F.array("a", "b")).alias("row")), texts, size)
-    return store(_similar(pairs, sets, similarity), "links")
+    pairs = store(_compared(pairs, _rows(_ends(pairs), texts, size, "s", long_sketch), lambda s, t: may_be_alike(
+        s, t, similarity)), "candidates")
+    return store(_similar(pairs, _rows(_ends(pairs), texts, size, "s", np.ndarray.tobytes), similarity), "links")
 
 
 def _similar(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """The ``pairs(a, b)`` of rows whose shingles are alike."""
+    def alike(left, right):
+        s, t = np.frombuffer(left, np.uint64), np.frombuffer(right, np.uint64)
+        both = len(np.intersect1d(s, t, assume_unique=True))
+        return both >= similarity * (len(s) + len(t) - both)
+
+    return _compared(pairs, sets, alike)
+
+
+def _compared(pairs: DataFrame, values: DataFrame, test) -> DataFrame:
+    """The ``pairs(a, b)`` that pass ``test`` of both rows' ``values(row, s)``."""
     def compare(batches):
         for batch in batches:
-            keep = []
-            for left, right in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                s, t = np.frombuffer(left, np.uint64), np.frombuffer(right, np.uint64)
-                both = len(np.intersect1d(s, t, assume_unique=True))
-                keep.append(both >= similarity * (len(s) + len(t) - both))
+            keep = [test(left, right) for left, right in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    one = sets.select(F.col("row").alias("a"), F.col("s").alias("s"))
-    two = sets.select(F.col("row").alias("b"), F.col("s").alias("t"))
+    one = values.select(F.col("row").alias("a"), F.col("s").alias("s"))
+    two = values.select(F.col("row").alias("b"), F.col("s").alias("t"))
     return pairs.join(one, "a").join(two, "b").select("a", "b", "s", "t").mapInArrow(compare, "a long, b long")
 
 
+def long_sketch(s: np.ndarray) -> bytes:
+    """The number of shingles, then, as in ``sketch``, whether an odd number of them falls into each class. The
+    classes, a power of two, are twice to four times as many as the shingles."""
+    classes = 8 << max(0, len(s).bit_length() - 2)
+    odd = np.bincount((s & np.uint64(classes - 1)).astype(np.int64), minlength=classes).astype(np.uint8) & 1
+    return len(s).to_bytes(8, "little") + np.packbits(odd).tobytes()
+
+
+def may_be_alike(left: bytes, right: bytes, similarity: float) -> bool:
+    """False only where two ``long_sketch``es prove that their shingles' similarity is below ``similarity``."""
+    n, m = (int.from_bytes(x[:8], "little") for x in (left, right))
+    s, t = (np.frombuffer(x, np.uint8, offset=8) for x in (left, right))
+    while len(s) != len(t):  # classes of the lower bits alone: the halves of the longer one, folded
+        s, t = (x if len(x) == min(len(s), len(t)) else x[:len(x) // 2] ^ x[len(x) // 2:] for x in (s, t))
+    apart = int(np.bitwise_count(s ^ t).sum())
+    return min(n, m) >= similarity * max(n, m) - 1e-6 and apart <= (n + m) * ((1 - similarity) / (1 + similarity)) + 1e-6
+
+
 def prefix(s: np.ndarray, common: np.ndarray, similarity: float) -> np.ndarray:
     """The first shingles of ``s`` in the order "not in ``common``, then by hash". Two sets that are alike share at
     least ``similarity`` of the larger one, so their prefixes of all but that many and one more share a shingle."""
     if not len(s):
         return s
-    late = np.isin(s, common)
+    late = common[np.searchsorted(common, s).clip(max=len(common) - 1)] == s if len(common) else np.zeros(len(s), bool)
     return np.concatenate([s[~late], s[late]])[:len(s) - ceil(similarity * len(s) - 1e-9) + 1]
 
 
@@ -284,10 +314,11 @@ def rest_pairs(texts: DataFrame, labels: DataFrame, size: int, similarity: float
     words = [f"s{i}" for i in range(SKETCH // 64)]
     schema = ", ".join(f"{c} long" for c in ["row", "n", *words])
     cuts = store(texts.select("row", "text").mapInArrow(cut, schema + ", first array<long>").join(labels, "row"), "prefixes")
-    tokens = cuts.select(F.explode("first").alias("x"), "row", "n", "label", *words)
-    shared = tokens.groupBy("x").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    shared = store(shared.where("low < high").select("x"), "shared")
-    few = store(tokens.join(shared, "x", "left_semi"), "members").repartition("x")  # one shuffle for both sides
+    # The shingles of all prefixes are shuffled once, without sketches, which come to the few rows that are left.
+    tokens, of = cuts.select(F.explode("first").alias("x"), "row", "label"), Window.partitionBy("x")
+    shared = tokens.select("*", F.min("label").over(of).alias("low"), F.max("label").over(of).alias("high"))
+    few = store(shared.where("low < high").select("x", "row", "label"), "shared")
+    few = store(few.join(cuts.select("row", "n", *words), "row"), "members").repartition("x")  # one shuffle for both sides
     other = few.select("x", *[F.col(c).alias(f"{c}_") for c in ["row", "n", "label", *words]])
     apart = sum((F.bit_count(F.col(c).bitwiseXOR(F.col(f"{c}_"))) for c in words), F.lit(0))
     return few.hint("merge").join(other, "x").where(
@@ -308,7 +339,8 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingl
     ``recall``, only join dense groups early. An empty table gives an empty one.
     """
     row, fp, mark = unused(docs, "row", "fp", "mark")
-    numbered = store(_read_texts(docs.withColumn(row, F.monotonically_increasing_id()), text, fp, mark, shingle), "fingerprints")
+    numbered = store(_read_texts(docs.withColumn(row, F.monotonically_increasing_id()), text, fp, mark, shingle),
+                     "fingerprints", compression="zstd")  # the largest table by far
     order = F.struct(F.col(doc_id).isNull().alias("none"), F.col(doc_id).alias("id"), F.col(row).alias("row"))
     nodes = store(numbered.groupBy(F.col(fp).alias("fp"), F.col(mark).alias("mark")).agg(F.min(order).alias("best")), "nodes")
     head = F.min(F.struct("mark", F.col("best.row").alias("row")))

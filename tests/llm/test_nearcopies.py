@@ -157,3 +157,27 @@ def test_empty_and_awkward_tables(make):
     kept = nearcopies.keep_one(make(RAW, SCHEMA)).collect()
     assert len(kept) == len({tuple(words_of(t)) for _, t in RAW})
     assert simhash.fingerprint(b"") == 0
+
+
+@pytest.mark.parametrize("size", [3, 40, 700, 5000])
+def test_long_sketches_never_take_out_a_near_pair(size):
+    rng, taken = np.random.default_rng(size), 0
+    for other in (size, round(size * 0.81), size * 3):
+        for shared in np.linspace(0, min(size, other), 25).astype(int):
+            x = rng.integers(0, 2 ** 64, size + other - shared, dtype=np.uint64)
+            s, t = np.unique(x[:size]), np.unique(x[size - shared:])
+            kept = nearcopies.may_be_alike(nearcopies.long_sketch(s), nearcopies.long_sketch(t), 0.8)
+            assert kept or shared < 0.8 * (size + other - shared)
+            taken += not kept
+    assert taken >= (50 if size >= 40 else 25)  # most of the pairs that are far apart end here
+
+
+def test_shingles_are_sent_for_near_pairs_only(make, monkeypatch):
+    rng, sent = random.Random(5), []
+    similar = nearcopies._similar
+    monkeypatch.setattr(nearcopies, "_similar", lambda pairs, sets, s: sent.append(sets.count()) or similar(pairs, sets, s))
+    base = [f"w{rng.randrange(10 ** 6)}" for _ in range(3000)]
+    texts = [" ".join(base[:1200] + [f"x{i}y{rng.randrange(10 ** 6)}" for _ in range(1800)]) for i in range(40)]
+    texts += [" ".join(base), " ".join([*base[:-9], *"a b c d e f g h i".split()])]
+    kept = nearcopies.keep_one(make([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")).count()
+    assert kept == 41 and max(sent) <= 4  # texts with a common first part meet, but are far apart
