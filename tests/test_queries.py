@@ -115,6 +115,14 @@ def test_requests_in_cells_are_never_broadcast(spark):
     assert pairs.count() == cover.box_pairs(requests, boxes).count() == 3
 
 
+def test_edges_of_shapes_are_never_broadcast(spark):
+    from meshfold.operators.bbox import candidates
+    from meshfold.registry import fixture_tables as ft
+
+    pairs = candidates(ft.requests(spark, "/root/testdata/sf0.001"), ft.stored_buildings(spark, "/root/testdata/sf0.001"))
+    assert "BroadcastExchange" not in pairs._jdf.queryExecution().executedPlan().toString()
+
+
 def test_a_country_wide_request_is_dealt_by_rows(spark):
     """Half of all boxes in one cell, the rest in towns: no task gets over twice the median of rows."""
     spot = F.when(F.col("id") % 2 == 0, 0).otherwise(F.xxhash64("id") % 2000000)
