@@ -210,3 +210,13 @@ def test_catalogue_in_script_notation(make):
     assert (first.cityname, first.folder, first.lng, first.lat) == ("Chiyoda", None, "139.75", None)
     assert rows[1, "13102"].cityname == "O'Hara"
     assert rows[2, "13103"].folder == ""
+
+
+def test_degrees_text_and_quantise_at_the_edges(make):
+    xs = [0, -1, 1, 9_999_999, 10_000_000, -1390000001, 2**60]
+    rows = make([(x,) for x in xs], "x bigint").select("x", numbers.degrees_text(F.col("x")).alias("t")).collect()
+    assert [r.t for r in rows] == ["0.0000000", "-0.0000001", "0.0000001", "0.9999999", "1.0000000", "-139.0000001",
+                                   "115292150460.6846976"]
+    ys = [9_999.99999995, 12_345.00000005, -0.00000005, 0.00000015, None]
+    q = make([(y,) for y in ys], "y double").select("y", numbers.quantise(F.col("y")).alias("q")).collect()
+    assert [r.q for r in q] == [None if r.y is None else int(f"{r.y:.7f}".replace(".", "")) for r in q]
