@@ -15,6 +15,7 @@ sketches, which bound the difference from below, take out most of the rest befor
 
 from __future__ import annotations
 
+import os
 from math import ceil, log, log2
 
 import numpy as np
@@ -26,6 +27,7 @@ from pyspark.sql import functions as F
 from meshfold.llm.common import store, unused
 from meshfold.llm.components import components, local_labels
 from meshfold.llm.simhash import BITS, fingerprint, trie_pairs
+from meshfold.session import new_folder
 
 
 def shingles(text: bytes | None, size: int) -> np.ndarray:
@@ -204,14 +206,38 @@ def _read_texts(docs: DataFrame, text: str, fp: str, mark: str, size: int) -> Da
     return docs.mapInArrow(run, ", ".join([*(f"`{c}` {t}" for c, t in docs.dtypes), f"`{fp}` bigint", f"`{mark}` bigint"]))
 
 
+PLACE = 33  # a row's number is that of the task that made it, shifted by so many bits, and its place there
+
+
+def _placed(df: DataFrame, row: str, part: str, label: str) -> DataFrame:
+    """``df`` written where its rows are made and read back with ``part``, the task's number, as its bucket: a join by
+    ``part`` and ``row`` sends the other side to the texts, which are never shuffled."""
+    spark = df.sparkSession
+    # Buckets by the first of the two keys are enough for a join by both.
+    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+    folder = new_folder(spark, label)
+    name = f"`{os.path.basename(folder).replace('-', '_')}`"
+    df.withColumn(part, F.shiftright(row, PLACE)).write.bucketBy(
+        int(spark.conf.get("spark.sql.shuffle.partitions")), part).options(
+        path=folder, compression="zstd").saveAsTable(name)
+    placed = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # the entry only; the files stay
+    return placed
+
+
+def _at(rows: DataFrame, row: str = "row", part: str = "part") -> DataFrame:
+    """``rows`` as the side of a join by ``part`` and ``row`` that is sent to the texts and held by hash."""
+    return rows.withColumn(part, F.shiftright(row, PLACE)).hint("shuffle_hash")
+
+
 def _rows(ends: DataFrame, texts: DataFrame, size: int, column: str, value) -> DataFrame:
-    """row and ``value`` of the shingles of its text, as bytes, of the rows in ``ends(row)``; ``texts(row, text)``."""
+    """row and ``value`` of the shingles of its text, as bytes, of the rows in ``ends(row)``; ``texts(part, row, text)``."""
     def cut(batches):
         for batch in batches:
             found = [value(shingles(t, size)) for t in batch.column(1).cast(pa.binary()).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["row", column])
 
-    chosen = texts.join(ends.distinct(), "row", "left_semi").select("row", "text")
+    chosen = texts.join(_at(ends.distinct()), ["part", "row"], "left_semi").select("row", "text")
     return store(chosen.mapInArrow(cut, f"row long, {column} binary"), "shingles")
 
 
@@ -299,21 +325,22 @@ def _common(texts: DataFrame, size: int, similarity: float) -> np.ndarray:
 
 def rest_pairs(texts: DataFrame, labels: DataFrame, size: int, similarity: float) -> DataFrame:
     """(a, b), a < b: a superset of all pairs of rows that are alike and have different labels; of
-    ``texts(row, text)`` those in ``labels(row, label)``, one row of each distinct text."""
+    ``texts(part, row, text)`` those in ``labels(row, label)``, one row of each distinct text."""
     common = _common(texts, size, similarity)
 
     def cut(batches):
         for batch in batches:
-            sets = [shingles(t, size) for t in batch.column(1).cast(pa.binary()).to_pylist()]
+            sets = [shingles(t, size) for t in batch.column(2).cast(pa.binary()).to_pylist()]
             bits = np.frombuffer(b"".join(map(sketch, sets)), np.int64).reshape(-1, len(words))
             yield pa.RecordBatch.from_arrays([
-                batch.column(0), pa.array([len(s) for s in sets], pa.int64()), *[pa.array(c) for c in bits.T.copy()],
+                batch.column(0), batch.column(1), pa.array([len(s) for s in sets], pa.int64()), *[pa.array(c) for c in bits.T.copy()],
                 pa.array([prefix(s, common, similarity).view(np.int64) for s in sets], pa.list_(pa.int64()))],
-                ["row", "n", *words, "first"])
+                ["row", "label", "n", *words, "first"])
 
     words = [f"s{i}" for i in range(SKETCH // 64)]
-    schema = ", ".join(f"{c} long" for c in ["row", "n", *words])
-    cuts = store(texts.select("row", "text").mapInArrow(cut, schema + ", first array<long>").join(labels, "row"), "prefixes")
+    schema = ", ".join(f"{c} long" for c in ["row", "label", "n", *words])
+    labelled = texts.join(_at(labels), ["part", "row"]).select("row", "label", "text")
+    cuts = store(labelled.mapInArrow(cut, schema + ", first array<long>"), "prefixes")
     # The shingles of all prefixes are shuffled once, without sketches, which come to the few rows that are left.
     tokens, of = cuts.select(F.explode("first").alias("x"), "row", "label"), Window.partitionBy("x")
     shared = tokens.select("*", F.min("label").over(of).alias("low"), F.max("label").over(of).alias("high"))
@@ -338,9 +365,9 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingl
     pair; a chain of links is one group. Fingerprints of at most ``budget`` differing bits, found with probability
     ``recall``, only join dense groups early. An empty table gives an empty one.
     """
-    row, fp, mark = unused(docs, "row", "fp", "mark")
-    numbered = store(_read_texts(docs.withColumn(row, F.monotonically_increasing_id()), text, fp, mark, shingle),
-                     "fingerprints", compression="zstd")  # the largest table by far
+    row, fp, mark, part = unused(docs, "row", "fp", "mark", "part")
+    numbered = _placed(_read_texts(docs.withColumn(row, F.monotonically_increasing_id()), text, fp, mark, shingle),
+                       row, part, "fingerprints")  # the largest table by far
     order = F.struct(F.col(doc_id).isNull().alias("none"), F.col(doc_id).alias("id"), F.col(row).alias("row"))
     nodes = store(numbered.groupBy(F.col(fp).alias("fp"), F.col(mark).alias("mark")).agg(F.min(order).alias("best")), "nodes")
     head = F.min(F.struct("mark", F.col("best.row").alias("row")))
@@ -349,7 +376,7 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingl
     one, two = heads.select(F.col("fp").alias("a"), F.col("row").alias("ra")), heads.select(F.col("fp").alias("b"), F.col("row").alias("rb"))
     pairs = across.join(one, "a").join(two, "b").select(F.col("ra").alias("a"), F.col("rb").alias("b"))
     alike = nodes.select("fp", F.col("best.row").alias("a")).join(heads, "fp").where("a <> row").select("a", F.col("row").alias("b"))
-    texts = numbered.select(F.col(row).alias("row"), F.col(text).alias("text"))
+    texts = numbered.select(F.col(part).alias("part"), F.col(row).alias("row"), F.col(text).alias("text"))
     held = _held(pairs.unionByName(alike), texts, shingle, similarity)
     grouped = store(components(held), "groups")
     labels = nodes.select(F.col("best.row").alias("row")).join(grouped.withColumnRenamed("node", "row"), "row", "left").select(
@@ -360,4 +387,4 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingl
     member = nodes.select("best", F.col("best.row").alias("node")).join(grouped, "node", "left")
     member = store(member.select("best", F.coalesce("root", "node").alias("root")), "members")
     chosen = member.groupBy("root").agg(F.min("best").alias("best")).select(F.col("best.row").alias(row))
-    return numbered.join(chosen, row, "left_semi").select(*docs.columns)
+    return numbered.join(_at(chosen, row, part), [part, row], "left_semi").select(*docs.columns)

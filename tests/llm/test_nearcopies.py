@@ -181,3 +181,12 @@ def test_shingles_are_sent_for_near_pairs_only(make, monkeypatch):
     texts += [" ".join(base), " ".join([*base[:-9], *"a b c d e f g h i".split()])]
     kept = nearcopies.keep_one(make([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")).count()
     assert kept == 41 and max(sent) <= 4  # texts with a common first part meet, but are far apart
+
+
+def test_texts_stay_where_they_are(make):
+    docs = make([(i, str(i), f"{i} " * 30) for i in range(40)], "doc_id long, part string, text string").repartition(4)
+    kept = nearcopies.keep_one(docs)
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    moved = [line for line in plan.split("Exchange")[1:] if "FileScan" in line and "text#" in line.split("FileScan")[1]]
+    assert "Bucketed: true" in plan and not moved
+    assert kept.columns == docs.columns and kept.count() == 40
