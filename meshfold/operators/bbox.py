@@ -90,6 +90,35 @@ def box_pairs(requests: DataFrame, boxes: DataFrame, within: str | None = None,
     return pairs if large.isEmpty() else pairs.unionByName(cover.box_pairs(large, boxes, within=within).select(*columns))
 
 
+def nested_pairs(outer: DataFrame, inner: DataFrame, on: list[str]) -> DataFrame:
+    """Pairs whose inner box lies within the outer one, edges included, with equal columns ``on``; other columns of both.
+
+    ``outer`` has west, south, east, north; ``inner`` has min/max_lon/lat. A box that lies within another has its lower-left
+    corner there. So an outer box goes to the cells it covers, at most four of a size just above its own, and
+    the corner of an inner one to the one cell that holds it for each size in use: a pair meets exactly once.
+    """
+    def fit(extent):
+        return F.ceil(F.log2(F.greatest(extent, F.lit(1)))).cast("int")
+
+    o = outer.filter("west is not null").withColumn(
+        "_level", fit(F.greatest(F.col("east") - F.col("west"), F.col("north") - F.col("south"))))
+    levels = used_levels(o, "_level")
+    size = F.pow(F.lit(2), F.col("_level")).cast("bigint")
+    covered = o.withColumn("_size", size).withColumn("_cell", F.explode(_cells(
+        F.col("west"), F.col("south"), F.col("east"), F.col("north"), F.col("_size")))).drop("_size").select(
+        "*", "_cell.cx", "_cell.cy").drop("_cell")
+    # An outer box is at least as wide as an inner one, so smaller sizes never hold it.
+    extent = F.greatest(F.col("max_lon") - F.col("min_lon"), F.col("max_lat") - F.col("min_lat"))
+    used = F.filter(F.array(*[F.lit(n) for n in levels or [0]]), lambda n: n >= fit(extent))
+    corners = inner.filter("min_lon is not null").select("*", F.explode(used).alias("_level")).select(
+        "*", F.floor(F.col("min_lon") / size).cast("bigint").alias("cx"),
+        F.floor(F.col("min_lat") / size).cast("bigint").alias("cy"))
+    # Both sides are many rows; cells make them larger than Spark's estimate: they are shuffled, never broadcast.
+    return covered.hint("merge").join(corners, ["cx", "cy", "_level", *on]).filter(
+        (F.col("min_lon") >= F.col("west")) & (F.col("max_lon") <= F.col("east"))
+        & (F.col("min_lat") >= F.col("south")) & (F.col("max_lat") <= F.col("north"))).drop("cx", "cy", "_level")
+
+
 def candidates(requests: DataFrame, buildings: DataFrame, mode: str = "intersects",
                shapes: DataFrame | None = None) -> DataFrame:
     """(request, building) pairs by polygon intersection or by contained centroid.

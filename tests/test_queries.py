@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from meshfold.functions import geometry as g
-from meshfold.operators import bbox, boundary, cover, coverage, dedup, elements, maintenance, runlog
+from meshfold.operators import bbox, boundary, cover, coverage, dedup, elements, maintenance, quality, runlog
 from meshfold.plans import bbox_query
 from meshfold.registry import fixture_tables as ft
 
@@ -421,3 +421,30 @@ def test_queries_load_without_the_training_data_folders(tmp_path):
     done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=120)
     assert done.returncode == 0, done.stderr
     assert int(done.stdout) >= 199
+
+
+def test_nested_buildings_against_brute_force(make):
+    rng = random.Random(7)
+    rows = []
+    for i in range(160):
+        x, y, h = X + rng.randrange(0, 6000, 250), Y + rng.randrange(0, 6000, 250), rng.choice([0, 250, 500, 1000, 3000])
+        ring = rng.choice([sq(x, y, h)[0], [(x - h, y), (x, y - h), (x + h, y), (x, y + h)], [(x - h, y - h), (x + h, y - h), (x, y + h)]])
+        hole = [sq(x, y, h // 4)[0]] if i % 5 == 0 else []
+        rows.append((i, f"1310{i % 3}", 3.0, 1, None, None, [ring, *hole] if i % 31 else None))
+    table = stored(make, rows).select("id", "city_code", "rings", "area2", "min_lon", "min_lat", "max_lon", "max_lat").cache()
+    pairs = table.alias("i").crossJoin(table.alias("o")).filter(
+        "i.id != o.id and i.city_code = o.city_code and i.area2 < o.area2").filter(g.polygon_covers(
+            g.edges(F.col("o.rings")), F.col("i.rings"), g.edges(F.col("i.rings")))).select("i.id", "o.id")
+    expected = {tuple(r) for r in pairs.collect()}
+    got = [tuple(r) for r in quality.nested_buildings(table).select("inner_id", "outer_id").collect()]
+    assert len(expected) > 50 and len(got) == len(set(got)) and set(got) == expected
+
+
+def test_nested_boxes_of_other_cities_never_meet(make):
+    boxes = [(i, f"{i % 20}", X, Y, X + 1000, Y + 1000) for i in range(400)]  # one place, 20 cities
+    table = make(boxes, "id int, city string, min_lon bigint, min_lat bigint, max_lon bigint, max_lat bigint")
+    outer = table.selectExpr("id outer_id", "city", "min_lon west", "min_lat south", "max_lon east", "max_lat north")
+    pairs = bbox.nested_pairs(outer, table, ["city"])
+    assert pairs.count() == 20 * 20 * 20
+    join = [line for line in pairs._jdf.queryExecution().executedPlan().toString().splitlines() if "Join" in line]
+    assert len(join) == 1 and join[0].split("Inner")[0].count("city#") == 2
