@@ -33,15 +33,16 @@ def with_city(df: DataFrame) -> DataFrame:
         .withColumn("file_name", F.substring_index("file_key", "/", -1))
 
 
-def first_footprints(df: DataFrame) -> DataFrame:
+def first_footprints(df: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """The first building of every footprint within a city, and how many copies it had.
 
     Comes before the area test: a rejected triangle still claims its footprint. An
-    aggregate, so a footprint repeated millions of times folds inside each task.
+    aggregate, so a footprint repeated millions of times folds inside each task. ``keep`` names
+    the columns that go on, by default all: only these are shuffled and sorted.
     """
     outer = F.col("rings")[0]["points"]
     keyed = df.withColumn("footprint", g.footprint_key(g.open_ring(outer)))
-    rest = [c for c in df.columns if c not in ("city",)]
+    rest = [c for c in keep or df.columns if c not in ("city",)]
     order = F.struct("file_key", "is_multipolygon", "pos")
     # The footprint first: sorts compare the first bytes of a key.
     return keyed.groupBy("footprint", "city").agg(
